@@ -100,7 +100,7 @@ def _ratings_file(spark: SparkSession, sf_dir: str, damaged: bool = False) -> st
     priority = F.col("o_orderpriority")
     orders = _table(spark, sf_dir, "orders")
     rating = ((F.col("o_orderkey") % 11).cast("double") / F.lit(2.0)).cast("string")
-    user = F.when(priority == "3-MEDIUM", F.concat(F.lit("u"), "o_custkey")).otherwise(F.col("o_custkey"))
+    user = F.when(priority == "3-MEDIUM", F.concat(F.lit("u"), "o_custkey")).otherwise(F.col("o_custkey").cast("string"))
     end = (
         F.when(priority == "1-URGENT", "")
         .when(priority == "2-HIGH", f"{SEPARATOR}838985046{SEPARATOR}x")
@@ -401,7 +401,7 @@ def stream_range_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_into_store(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Two arrivals, the stream being stopped and resumed in between."""
     batches = _event_batches(spark, sf_dir)
-    store = _loaded(spark, "stream", batches[0].limit(0))
+    store = _loaded(spark, "stream", spark.createDataFrame([], batches[0].schema))
     if kind == RANGE:
         store.split_range(TABLE, N, column="value", lo=0.0, hi=500.0)
     else:

@@ -1,0 +1,24 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from fragloom.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session(8, **{"spark.checkpoint.dir": str(shared)})
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    from fragloom import FragmentStore
+
+    return FragmentStore(spark, str(tmp_path / "store"))
