@@ -11,17 +11,21 @@ task computes the same numbers.
 `number_rows` numbers the rows by a total order. Cut points of the order key
 are chosen from a key sample and then fixed, so the bucket of a row is a pure
 function of its key. Rows are numbered inside each bucket and shifted by the
-number of rows in the buckets before it.
+number of rows in the buckets before it. A hot value of the leading column is
+cut again by the columns behind it.
 """
 
 from __future__ import annotations
 
 import json
+import math
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Sequence
 from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,15 +57,6 @@ def _start_offsets(counts: dict[int, int], size: int) -> Column:
     return _long_array([0, *accumulate(totals)][:size])
 
 
-def with_storage_position(stored: DataFrame) -> DataFrame:
-    """Add the file and the row's position in it: a total order of any table."""
-    return stored.select(
-        "*",
-        F.col("_metadata.file_path").alias(FILE_PATH),
-        F.col("_metadata.row_index").alias(FILE_ROW),
-    )
-
-
 def number_stored_rows(stored: DataFrame, into: str = ROW_NUMBER) -> DataFrame:
     """Number all rows of a parquet table in storage order.
 
@@ -86,10 +81,13 @@ def number_stored_rows(stored: DataFrame, into: str = ROW_NUMBER) -> DataFrame:
     )
     if len(stored.inputFiles()) <= MAX_BROADCAST_FILES:
         offsets = F.broadcast(offsets)
-    columns = stored.columns
-    return with_storage_position(stored).join(offsets, FILE_PATH).select(
-        *columns, (F.col("_offset") + F.col(FILE_ROW)).alias(into)
+    positioned = stored.select(
+        "*",
+        F.col("_metadata.file_path").alias(FILE_PATH),
+        F.col("_metadata.row_index").alias(FILE_ROW),
     )
+    number = F.col("_offset") + F.col(FILE_ROW)
+    return positioned.join(offsets, FILE_PATH).select(*stored.columns, number.alias(into))
 
 
 def _comparable(df: DataFrame, name: str) -> Column:
@@ -105,7 +103,9 @@ def _comparable(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(key)
     if isinstance(kind, T.TimestampNTZType):
-        return F.date_format(key, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        # By calendar and clock, so that no time zone rule can reorder values.
+        clock = (F.hour(key) * 60 + F.minute(key)) * 60 + F.extract(F.lit("SECOND"), key)
+        return F.unix_date(key.cast("date")) * F.lit(86_400_000_000) + (clock * 1_000_000).cast("bigint")
     if isinstance(kind, (T.StringType, T.DecimalType)):
         return key
     raise TypeError(f"cannot order by {name} of type {kind.simpleString()}")
@@ -116,7 +116,7 @@ def _bucket_count(df: DataFrame, total: int, rows_per_bucket: int) -> int:
     return min(MAX_BUCKETS, max(tasks, -(-total // rows_per_bucket)))
 
 
-def _cut_points(keys: DataFrame, total: int, buckets: int) -> list:
+def _cut_points(keys: DataFrame, total: int, buckets: int) -> list[Row]:
     """At most buckets - 1 key rows, ascending, that cut the rows about evenly."""
     wanted = buckets * SAMPLES_PER_BUCKET
     sample = keys if total <= wanted else keys.sample(fraction=wanted / total, seed=7)
@@ -125,37 +125,79 @@ def _cut_points(keys: DataFrame, total: int, buckets: int) -> list:
     return list(dict.fromkeys(cuts))
 
 
-def _bucket_by_number(df: DataFrame, key: Column, cuts: list) -> DataFrame:
-    """Buckets of one numeric key, NULL first and NaN last as in a sort."""
-    points = sorted({float(row[0]) for row in cuts if row[0] is not None and row[0] == row[0]})
-    if not points:
-        return df.withColumn(_BUCKET, F.lit(0))
-    bucketizer = Bucketizer(
-        splits=[-float("inf"), *points, float("inf")],
-        inputCol="_bucket_key",
-        outputCol=_BUCKET,
-        handleInvalid="keep",
-    )
-    bucketed = bucketizer.transform(df.withColumn("_bucket_key", key.cast("double")))
-    return bucketed.drop("_bucket_key").withColumn(_BUCKET, F.coalesce(F.col(_BUCKET).cast("int"), F.lit(0)))
-
+def _cuts_below(df: DataFrame, keys: list[Column], cuts: list[Row]) -> Column:
+    """How many cuts lie below the row's key: a binary search over a literal array.
 
-def _bucket_by_tuple(df: DataFrame, keys: list[Column], cuts: list) -> DataFrame:
-    """Buckets of a composite or non-numeric key: a binary search over the cuts."""
-    if not cuts:
-        return df.withColumn(_BUCKET, F.lit(0))
+    It is interpreted, at some microseconds a row, so it is kept for rows that a
+    search on the leading column alone cannot place.
+    """
     key = F.struct(*keys)
     schema = df.select(F.array(key)).schema[0].dataType.simpleString()
     cut_array = F.from_json(F.lit(json.dumps([row.asDict() for row in cuts], default=str)), schema)
     steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
-    bucket = F.aggregate(
+    return F.aggregate(
         F.array(*map(F.lit, steps)),
         F.lit(0),
         lambda pos, step: F.when(
             (pos + step <= F.lit(len(cuts))) & (F.get(cut_array, pos + step - 1) < key), pos + step
         ).otherwise(pos),
     )
-    return df.withColumn(_BUCKET, bucket)
+
+
+def _lead(cut: Row) -> float | None:
+    """The leading value of a cut as Bucketizer sees it; every NaN is the same one."""
+    if cut[0] is None:
+        return None
+    value = float(cut[0])
+    return math.nan if math.isnan(value) else value
+
+
+def _with_bucket(df: DataFrame, keys: list[Column], cuts: list[Row]) -> DataFrame:
+    """Add the bucket, which grows with the key and is below `_bucket_limit`.
+
+    A numeric leading column alone decides the slot of a row: NULL, one slot
+    between every two values cut, NaN. Slots whose value is cut more than once
+    are divided by a search for the whole key.
+    """
+    if not cuts:
+        return df.withColumn(_BUCKET, F.lit(0))
+    if not isinstance(df.select(keys[0]).schema[0].dataType, T.NumericType):
+        return df.withColumn(_BUCKET, _cuts_below(df, keys, cuts))
+
+    leads = Counter(map(_lead, cuts))
+    points = sorted(v for v in leads if v is not None and math.isfinite(v))
+    bucketizer = Bucketizer(
+        splits=[-math.inf, *(points or [0.0]), math.inf],
+        inputCol="_lead",
+        outputCol=_BUCKET,
+        handleInvalid="keep",  # NaN gets the slot behind all others
+    )
+    slotted = bucketizer.transform(df.withColumn("_lead", keys[0].cast("double"))).drop("_lead")
+    slot = F.coalesce(F.col(_BUCKET).cast("int") + 1, F.lit(0))
+
+    hot = {v for v, times in leads.items() if times > 1} if len(keys) > 1 else set()
+    if not hot:
+        return slotted.withColumn(_BUCKET, slot)
+    n_slots = max(len(points), 1) + 3
+
+    def slot_of(value: float | None) -> int:
+        if value is None:
+            return 0
+        return n_slots - 1 if math.isnan(value) else 1 + bisect_right(points, value)
+
+    hot_cuts = [cut for cut in cuts if _lead(cut) in hot]
+    inside = Counter(slot_of(_lead(cut)) for cut in hot_cuts)
+    seen = accumulate(inside[i] for i in range(n_slots))
+    # Per slot, the number of hot cuts below all of it; -1 where some lie inside.
+    below = [-1 if inside[i] else n for i, n in enumerate(seen)]
+    known = F.get(_long_array(below), slot).cast("int")
+    return slotted.withColumn(
+        _BUCKET, slot + F.when(known >= 0, known).otherwise(_cuts_below(df, keys, hot_cuts))
+    )
+
+
+def _bucket_limit(cuts: list[Row]) -> int:
+    return 2 * len(cuts) + 4
 
 
 def number_rows(
@@ -175,11 +217,8 @@ def number_rows(
     key_rows = df.select(*keys)
     total = df.count()
     cuts = _cut_points(key_rows, total, _bucket_count(df, total, rows_per_bucket))
-    if len(keys) == 1 and isinstance(key_rows.schema[0].dataType, T.NumericType):
-        bucketed = _bucket_by_number(df, keys[0], cuts)
-    else:
-        bucketed = _bucket_by_tuple(df, keys, cuts)
+    bucketed = _with_bucket(df, keys, cuts)
     counts = {r[_BUCKET]: r["count"] for r in bucketed.groupBy(_BUCKET).count().collect()}
     in_bucket = Window.partitionBy(_BUCKET).orderBy(*[F.col(name).asc_nulls_first() for name in order_by])
-    number = F.get(_start_offsets(counts, len(cuts) + 2), F.col(_BUCKET)) + F.row_number().over(in_bucket) - 1
+    number = F.get(_start_offsets(counts, _bucket_limit(cuts)), F.col(_BUCKET)) + F.row_number().over(in_bucket) - 1
     return bucketed.withColumn(into, number).drop(_BUCKET)

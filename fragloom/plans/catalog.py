@@ -13,7 +13,7 @@ import re
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,7 +124,10 @@ class Catalog:
 
     def find(self, table: str, kind: str) -> Entry | None:
         """The entry, or None."""
-        row = self.snapshot().where((F.col("table_name") == table) & (F.col("kind") == kind)).first()
+        version = self._version()
+        if version < 0:
+            return None
+        row = self._at(version).where((F.col("table_name") == table) & (F.col("kind") == kind)).first()
         return _entry(row) if row else None
 
     def get(self, table: str, kind: str) -> Entry:
@@ -139,17 +142,20 @@ class Catalog:
     def publish(self, *entries: Entry) -> None:
         """Add or replace entries, all at once."""
         version = self._version()
-        changed = self._spark.createDataFrame([asdict(e) for e in entries], SNAPSHOT_SCHEMA)
-        kept = self._at(version).join(F.broadcast(changed), ["table_name", "kind"], "left_anti")
-        following = kept.unionByName(changed).coalesce(1)
+        following = self._spark.range(1).select(F.inline(F.array(*[_literal(e) for e in entries])))
+        if version >= 0:
+            kept = self._at(version)
+            for e in entries:
+                kept = kept.where((F.col("table_name") != e.table_name) | (F.col("kind") != e.kind))
+            following = kept.unionByName(following)
         target = f"{self._path}/version={version + 1}"
         try:
-            following.write.mode("errorifexists").parquet(target)
+            following.coalesce(1).write.mode("errorifexists").parquet(target)
         except AnalysisException as error:
             # A publish that died leaves an empty folder; a rival leaves a snapshot.
             if error.getCondition() != "PATH_ALREADY_EXISTS" or self._version() != version:
                 raise
-            following.write.mode("overwrite").parquet(target)
+            following.coalesce(1).write.mode("overwrite").parquet(target)
 
     def fragments(self) -> DataFrame:
         """One row per fragment of every split, empty ones included."""
@@ -174,3 +180,11 @@ class Catalog:
 
 def _entry(row: Row) -> Entry:
     return Entry(**{**row.asDict(), "streams": dict(row["streams"] or {})})
+
+
+def _literal(entry: Entry) -> Column:
+    """The entry as one struct literal, which needs no Python worker."""
+    values = asdict(entry)
+    streams = [F.lit(x) for pair in values["streams"].items() for x in pair]
+    values["streams"] = F.create_map(*streams)
+    return F.struct(*[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in SNAPSHOT_SCHEMA])

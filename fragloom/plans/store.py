@@ -33,18 +33,13 @@ from fragloom.functions.ranges import (
 )
 from fragloom.operators.checks import tuple_count
 from fragloom.operators.counts import fragment_profile, fragment_sizes
-from fragloom.operators.numbering import (
-    FILE_PATH,
-    FILE_ROW,
-    number_rows,
-    number_stored_rows,
-    with_storage_position,
-)
+from fragloom.operators.numbering import number_rows, number_stored_rows
 from fragloom.operators.splits import assign_round_robin
 from fragloom.plans.catalog import BASE, FRAGMENT_PREFIX, RANGE, ROUND_ROBIN, Catalog, Entry
 from fragloom.plans.layout import write_split
 
 _COMMIT = "commit"
+_TIE = "_storage_row"
 
 
 class FragmentStore:
@@ -301,8 +296,7 @@ def _number_stored(stored: DataFrame, order_by: str | Sequence[str] | None, uniq
     if unique:
         return number_rows(stored, order_by)
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    positioned = with_storage_position(stored)
-    return number_rows(positioned, [*keys, FILE_PATH, FILE_ROW]).drop(FILE_PATH, FILE_ROW)
+    return number_rows(number_stored_rows(stored, into=_TIE), [*keys, _TIE]).drop(_TIE)
 
 
 def _is_committed(entry: Entry, stream: tuple[str, int] | None) -> bool:

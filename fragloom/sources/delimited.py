@@ -70,11 +70,7 @@ def read_lines(
     if bad_records == "drop_short":
         records = records.where(F.size("fields") >= field_count)
     if bad_records == "skip":
-        records = records.where(F.size("fields") == field_count)
-        typed_records = records.select(
-            *[typed(F.get("fields", F.lit(i)), f.dataType).alias(f.name) for i, f in enumerate(columns)]
-        )
-        return typed_records.dropna("any")
+        return _typable(records, columns, field_count)
     return records.select(
         *[
             typed_or_fail(F.get("fields", F.lit(i)), f.dataType, F.col("line")).alias(f.name)
@@ -83,6 +79,23 @@ def read_lines(
     )
 
 
+def _typable(records: DataFrame, columns: T.StructType, field_count: int) -> DataFrame:
+    """Records with the right number of fields, all wanted ones typable.
+
+    Good records are passed on through `inline`. A filter would be pushed below
+    the projection, and every record split and cast once per condition.
+    """
+    values = F.struct(
+        *[typed(F.get("fields", F.lit(i)), f.dataType).alias(f.name) for i, f in enumerate(columns)]
+    )
+    tried = records.select(values.alias("record"), (F.size("fields") == field_count).alias("complete"))
+    good = F.col("complete")
+    for name in columns.names:
+        good = good & F.col("record").getField(name).isNotNull()
+    kind = T.ArrayType(columns).simpleString()
+    return tried.select(F.inline(F.when(good, F.array("record")).otherwise(F.array().cast(kind))))
+
+
 def read_with_fillers(
     spark: SparkSession, path: str, columns: T.StructType = RATINGS, separator: str = SEPARATOR
 ) -> DataFrame:
