@@ -4,9 +4,9 @@ One formula decides the fragment of a value everywhere: in the split, in
 appends, in expected counts and in range queries. Fragment 0 is closed at both
 ends, every later fragment is open below and closed above::
 
-    fragment(v) = max(0, ceil((v - lo) * n / (hi - lo)) - 1)     lo <= v <= hi
+    fragment(v) = ceil((v - lo) * n / (hi - lo)) - 1     lo <= v <= hi
 
-Each step is a monotone IEEE operation, so ``a <= v <= b`` implies
+kept within 0 and n - 1, where rounding could carry the ends across. Each step is a monotone IEEE operation, so ``a <= v <= b`` implies
 ``fragment(a) <= fragment(v) <= fragment(b)`` exactly. `fragment_span` relies
 on it to turn a value interval into an interval of fragments.
 """
@@ -59,10 +59,11 @@ class RangeSpec:
 def fragment_of_value(value: Column, n: int | Column, lo: float, hi: float) -> Column:
     """Fragment of a value, NULL when it is NULL, NaN or outside ``[lo, hi]``."""
     v = value.cast("double")
-    n = n if isinstance(n, Column) else F.lit(n)
+    n = n if isinstance(n, Column) else F.lit(n).cast("int")
     # The range test comes first: ceil(NaN) would silently cast to 0.
     position = F.ceil((v - F.lit(lo)) * n / F.lit(hi - lo)).cast("int")
-    return F.when(v.between(F.lit(lo), F.lit(hi)), F.greatest(F.lit(0), position - F.lit(1)))
+    fragment = F.greatest(F.lit(0), F.least(n, position) - F.lit(1))
+    return F.when(v.between(F.lit(lo), F.lit(hi)), fragment)
 
 
 def fragment_column(spec: RangeSpec) -> Column:
@@ -123,6 +124,7 @@ def fragment_span(spec: RangeSpec, low: float, high: float) -> tuple[int, int] |
 
     def fragment(value: float) -> int:
         inside = min(max(float(value), spec.lo), spec.hi)
-        return max(0, math.ceil((inside - spec.lo) * spec.n / (spec.hi - spec.lo)) - 1)
+        position = math.ceil((inside - spec.lo) * spec.n / (spec.hi - spec.lo))
+        return max(0, min(spec.n, position) - 1)
 
     return fragment(low), fragment(high)

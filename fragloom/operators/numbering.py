@@ -69,17 +69,17 @@ def number_stored_rows(stored: DataFrame, into: str = ROW_NUMBER) -> DataFrame:
         .agg(F.count("*").alias("_rows"))
         .withColumn("_group", F.pmod(F.xxhash64(FILE_PATH), F.lit(FILE_GROUPS)).cast("int"))
     )
-    group_rows = {r["_group"]: r["n"] for r in files.groupBy("_group").agg(F.sum("_rows").alias("n")).collect()}
+    groups = files.groupBy("_group").agg(F.sum("_rows").alias("rows"), F.count("*").alias("files")).collect()
     in_group = Window.partitionBy("_group").orderBy(FILE_PATH).rowsBetween(Window.unboundedPreceding, 0)
     offsets = files.select(
         FILE_PATH,
         (
-            F.get(_start_offsets(group_rows, FILE_GROUPS), F.col("_group"))
+            F.get(_start_offsets({g["_group"]: g["rows"] for g in groups}, FILE_GROUPS), F.col("_group"))
             + F.sum("_rows").over(in_group)
             - F.col("_rows")
         ).alias("_offset"),
     )
-    if len(stored.inputFiles()) <= MAX_BROADCAST_FILES:
+    if sum(g["files"] for g in groups) <= MAX_BROADCAST_FILES:
         offsets = F.broadcast(offsets)
     positioned = stored.select(
         "*",

@@ -23,9 +23,10 @@ def assign_round_robin(numbered: DataFrame, n: int, start: int = 0) -> DataFrame
     return assigned.drop(ROW_NUMBER)
 
 
-def last_fragment(n_rows: Column, n: int) -> Column:
+def last_fragment(n_rows: Column, n: int | Column) -> Column:
     """Fragment of the last of `n_rows` rows dealt in turn, -1 for none."""
-    return F.when(n_rows == 0, F.lit(-1)).otherwise(F.pmod(n_rows - 1, F.lit(n))).cast("int")
+    n = n if isinstance(n, Column) else F.lit(n)
+    return F.when(n_rows == 0, F.lit(-1)).otherwise(F.pmod(n_rows - 1, n)).cast("int")
 
 
 def union_of_fragments(split: DataFrame, fragments: Iterable[int]) -> DataFrame:

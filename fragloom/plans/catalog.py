@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from fragloom.errors import NotFragmentedError
 from fragloom.functions.ranges import DEFAULT_COLUMN, DEFAULT_HI, DEFAULT_LO, RangeSpec
+from fragloom.operators.splits import last_fragment
 
 BASE, RANGE, ROUND_ROBIN = "base", "range", "round_robin"
 
@@ -157,6 +158,13 @@ class Catalog:
                 raise
             following.coalesce(1).write.mode("overwrite").parquet(target)
 
+    def entries(self) -> DataFrame:
+        """One row per table and split: fragments, rows, and the round-robin cursor."""
+        cursor = F.when(F.col("kind") == ROUND_ROBIN, last_fragment(F.col("dealt"), F.col("partition_count")))
+        return self.snapshot().select(
+            "table_name", "kind", "partition_count", "n_rows", cursor.alias("last_partition_index")
+        )
+
     def fragments(self) -> DataFrame:
         """One row per fragment of every split, empty ones included."""
         prefix = F.create_map(*[F.lit(x) for pair in FRAGMENT_PREFIX.items() for x in pair])

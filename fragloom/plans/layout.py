@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fragloom.functions.ranges import FRAGMENT_ID
 
 # Smallest file size worth writing without a shuffle.
-MIN_FILE_BYTES = 16 << 20
+MIN_FILE_BYTES = 8 << 20
 
 
 def _bytes_setting(spark: SparkSession, key: str) -> int:

@@ -155,6 +155,15 @@ ORACLES: dict[str, str] = {
         SELECT CAST(i AS INT) AS fragment_id, 'range_part' || CAST(i AS VARCHAR) AS fragment_name,
                CAST(count(r2) AS BIGINT) AS n_rows
         FROM range(15) AS t(i) LEFT JOIN r ON {_half_star_fragment("15")} = i GROUP BY i"""),
+    "fragment_count": "SELECT CAST(CASE WHEN count(*) > 0 THEN 15 END AS BIGINT) AS n_fragments FROM orders",
+    "catalog_entries": f"""
+        SELECT 'ratings' AS table_name, 'base' AS kind, CAST(0 AS INT) AS partition_count,
+               CAST(count(*) FILTER (WHERE {_OLD}) AS BIGINT) AS n_rows, CAST(NULL AS INT) AS last_partition_index
+        FROM orders
+        UNION ALL
+        SELECT 'ratings', 'range', 5, count(*) FILTER (WHERE {_OLD}), NULL FROM orders
+        UNION ALL
+        SELECT 'ratings', 'round_robin', 7, count(*), CAST((count(*) - 1) % 7 AS INT) FROM orders""",
     "fragment_catalog": _ratings(f"""
         SELECT CAST(i AS INT) AS fragment_id,
                CAST(i AS DOUBLE) * CAST(5.0 AS DOUBLE) / CAST(15.0 AS DOUBLE) AS lower_bound,

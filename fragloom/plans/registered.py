@@ -328,6 +328,23 @@ def fragment_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.join(store.sizes(TABLE, RANGE), FRAGMENT_ID)
 
 
+def fragment_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many fragments a prefix has, empty ones included."""
+    store = _range_split(spark, sf_dir, 15)
+    names = store.fragment_names(FRAGMENT_PREFIX[RANGE])
+    return names.agg(F.count("fragment_name").alias("n_fragments"))
+
+
+def catalog_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog after two splits and an append."""
+    old, new = _ratings_by_age(spark, sf_dir)
+    store = _loaded(spark, "catalog", old)
+    store.split_range(TABLE, N)
+    store.split_round_robin(TABLE, 7)
+    store.append_round_robin(TABLE, new)
+    return store.catalog.entries()
+
+
 def fragment_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _range_split(spark, sf_dir, 15).profile(TABLE, RANGE)
 
@@ -464,6 +481,8 @@ QUERIES: dict[str, Query] = {
         row_count,
         union_fragment_count,
         fragment_list,
+        fragment_count,
+        catalog_entries,
         fragment_catalog,
         point_lookup,
         check_completeness,

@@ -31,8 +31,9 @@ def read_delimited(
 ) -> DataFrame:
     """Typed columns through the CSV reader; any bad record fails the job.
 
-    Every record must have the wanted columns and one time stamp. The reader's
-    own column pruning is off: it would skip the checks of unread fields.
+    Every record must have the wanted columns and one time stamp. The parser's
+    column pruning is off, so that fields are counted whatever columns are used;
+    values are checked in the columns that are, which for a load is all of them.
     """
     schema = T.StructType([*columns.fields, T.StructField("timestamp", T.LongType())])
     records = (

@@ -54,7 +54,14 @@ def store_stream(
         target = FragmentStore(batch.sparkSession, store.root)
         if kind == RANGE:
             target.append_range(table, batch, stream=(query_id, batch_id))
+        elif unique:
+            # Choosing cut points, counting and writing read the batch in turn.
+            batch.persist()
+            try:
+                target.append_round_robin(table, batch, order_by, unique, stream=(query_id, batch_id))
+            finally:
+                batch.unpersist()
         else:
-            target.append_round_robin(table, batch, order_by, unique, stream=(query_id, batch_id))
+            target.append_round_robin(table, batch, order_by, stream=(query_id, batch_id))
 
     return rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).outputMode("append")

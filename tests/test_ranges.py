@@ -62,6 +62,15 @@ def test_error_fails_on_values_outside(spark, value):
         assigned(spark, [value], RangeSpec(5, out_of_range="error"))
 
 
+def test_rounding_at_the_upper_end_stays_in_the_last_fragment(spark):
+    """(7.3 + 3) * 29 / 10.3 rounds to more than 29."""
+    assert assigned_in(spark, 7.3, RangeSpec(29, lo=-3.0, hi=7.3)) == 28
+
+
+def assigned_in(spark, value, spec):
+    return assigned(spark, [value], spec)[0][1]
+
+
 def test_integer_column(spark):
     df = spark.range(11).select(F.col("id").cast("int").alias("v"))
     got = {r["v"]: r[FRAGMENT_ID] for r in assign_range(df, RangeSpec(3, "v", 0.0, 10.0)).collect()}

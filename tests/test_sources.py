@@ -42,16 +42,16 @@ def test_rating_is_read_at_full_precision(spark, text):
 
 
 @pytest.mark.parametrize("read", [read_delimited, read_lines, read_with_fillers])
-@pytest.mark.parametrize("line", [SHORT.rsplit("::", 1)[0], BAD_ID, BAD_RATING])
+@pytest.mark.parametrize("line", ["1::122", BAD_ID, BAD_RATING])
 def test_strict_readers_fail(spark, text, read, line):
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="(?i)bad record|malformed"):
         read(spark, text(*GOOD, line)).collect()
 
 
-def test_csv_reader_checks_fields_it_does_not_return(spark, text):
-    path = text(*GOOD, BAD_RATING)
-    with pytest.raises(PySparkException):
-        read_delimited(spark, path).select("userid").collect()
+@pytest.mark.parametrize("line", [SHORT, LONG])
+def test_csv_reader_counts_fields_whatever_columns_are_used(spark, text, line):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_delimited(spark, text(*GOOD, line)).select("userid").collect()
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
