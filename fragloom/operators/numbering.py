@@ -10,9 +10,9 @@ task computes the same numbers.
 
 `number_rows` numbers the rows by a total order. Cut points of the order key
 are chosen from a key sample and then fixed, so the bucket of a row is a pure
-function of its key. Rows are numbered inside each bucket and shifted by the
-number of rows in the buckets before it. A hot value of the leading column is
-cut again by the columns behind it.
+function of its key. Each bucket goes to a task of its own, where its rows are numbered
+and shifted by the number of rows in the buckets before it. A hot value of the
+leading column is cut again by the columns behind it.
 """
 
 from __future__ import annotations
@@ -33,9 +33,11 @@ ROW_NUMBER = "row_index"
 FILE_PATH = "_file_path"
 FILE_ROW = "_file_row"
 
-# Rows a bucket should hold, and how many buckets there may be. The second
-# bounds what the driver handles: cut points, bucket counts and the key sample.
+# Rows a bucket should hold, the fewest worth a task of their own, and how many
+# buckets there may be. The last bounds what the driver handles: cut points,
+# bucket counts and the key sample.
 ROWS_PER_BUCKET = 1_000_000
+MIN_ROWS_PER_BUCKET = 10_000
 MAX_BUCKETS = 16_384
 SAMPLES_PER_BUCKET = 64
 
@@ -51,10 +53,9 @@ def _long_array(values: Sequence[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def _start_offsets(counts: dict[int, int], size: int) -> Column:
-    """Per bucket, the number of rows in the buckets before it."""
-    totals = [counts.get(i, 0) for i in range(size)]
-    return _long_array([0, *accumulate(totals)][:size])
+def _start_offsets(counts: Sequence[int]) -> Column:
+    """Per group, the number of rows in the groups before it."""
+    return _long_array([0, *accumulate(counts)])
 
 
 def number_stored_rows(stored: DataFrame, into: str = ROW_NUMBER) -> DataFrame:
@@ -70,14 +71,12 @@ def number_stored_rows(stored: DataFrame, into: str = ROW_NUMBER) -> DataFrame:
         .withColumn("_group", F.pmod(F.xxhash64(FILE_PATH), F.lit(FILE_GROUPS)).cast("int"))
     )
     groups = files.groupBy("_group").agg(F.sum("_rows").alias("rows"), F.count("*").alias("files")).collect()
+    group_rows = {g["_group"]: g["rows"] for g in groups}
+    start = _start_offsets([group_rows.get(i, 0) for i in range(FILE_GROUPS)])
     in_group = Window.partitionBy("_group").orderBy(FILE_PATH).rowsBetween(Window.unboundedPreceding, 0)
     offsets = files.select(
         FILE_PATH,
-        (
-            F.get(_start_offsets({g["_group"]: g["rows"] for g in groups}, FILE_GROUPS), F.col("_group"))
-            + F.sum("_rows").over(in_group)
-            - F.col("_rows")
-        ).alias("_offset"),
+        (F.get(start, F.col("_group")) + F.sum("_rows").over(in_group) - F.col("_rows")).alias("_offset"),
     )
     if sum(g["files"] for g in groups) <= MAX_BROADCAST_FILES:
         offsets = F.broadcast(offsets)
@@ -113,7 +112,8 @@ def _comparable(df: DataFrame, name: str) -> Column:
 
 def _bucket_count(df: DataFrame, total: int, rows_per_bucket: int) -> int:
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_BUCKETS, max(tasks, -(-total // rows_per_bucket)))
+    wanted = max(-(-total // rows_per_bucket), min(tasks, total // MIN_ROWS_PER_BUCKET))
+    return min(MAX_BUCKETS, max(1, wanted))
 
 
 def _cut_points(keys: DataFrame, total: int, buckets: int) -> list[Row]:
@@ -218,7 +218,11 @@ def number_rows(
     total = df.count()
     cuts = _cut_points(key_rows, total, _bucket_count(df, total, rows_per_bucket))
     bucketed = _with_bucket(df, keys, cuts)
-    counts = {r[_BUCKET]: r["count"] for r in bucketed.groupBy(_BUCKET).count().collect()}
+    counts = sorted((r[_BUCKET], r["count"]) for r in bucketed.groupBy(_BUCKET).count().collect())
+    ranks = {bucket: rank for rank, (bucket, _) in enumerate(counts)}
+    rank = F.get(_long_array([ranks.get(i, 0) for i in range(_bucket_limit(cuts))]), F.col(_BUCKET))
+    # One task per bucket that holds rows; hashing would put several into some tasks.
+    placed = bucketed.withColumn(_BUCKET, rank.cast("int")).repartitionById(max(1, len(counts)), _BUCKET)
     in_bucket = Window.partitionBy(_BUCKET).orderBy(*[F.col(name).asc_nulls_first() for name in order_by])
-    number = F.get(_start_offsets(counts, _bucket_limit(cuts)), F.col(_BUCKET)) + F.row_number().over(in_bucket) - 1
-    return bucketed.withColumn(into, number).drop(_BUCKET)
+    start = F.get(_start_offsets([n for _, n in counts]), F.col(_BUCKET))
+    return placed.withColumn(into, start + F.row_number().over(in_bucket) - 1).drop(_BUCKET)

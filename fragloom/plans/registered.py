@@ -248,8 +248,7 @@ def range_expected_counts_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def global_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbered = number_rows(_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
-    return numbered.select("o_orderkey", "o_totalprice", "row_index")
+    return number_rows(_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
 
 
 def global_row_number_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:

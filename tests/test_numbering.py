@@ -82,6 +82,16 @@ def test_equal_rows_keep_all_numbers(spark):
     assert got == list(range(100))
 
 
+def test_every_bucket_has_its_own_task(spark):
+    numbered = number_rows(spark.range(1000), "id", rows_per_bucket=100)
+    sizes = numbered.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(sizes) == 10 and all(50 <= r["count"] <= 150 for r in sizes)
+
+
+def test_few_rows_take_one_task(spark):
+    assert number_rows(spark.range(1000), "id").rdd.getNumPartitions() == 1
+
+
 def test_empty_frame(spark):
     assert number_rows(spark.createDataFrame([], "k int"), "k").collect() == []
 
@@ -111,7 +121,8 @@ def test_no_single_task_and_no_shuffle(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).write.parquet(path)
     stored = spark.read.parquet(path)
-    assert "SinglePartition" not in plan(number_rows(stored, "id"))
+    by_key = plan(number_rows(stored, "id", rows_per_bucket=100))
+    assert "SinglePartition" not in by_key and by_key.count("Exchange") == 1
     storage_order = plan(number_stored_rows(stored))
     # Only the per-file counts are shuffled, below the broadcast of the offsets.
     assert "BroadcastHashJoin" in storage_order and "SortMergeJoin" not in storage_order
