@@ -11,3 +11,7 @@ class NotFragmentedError(FragmentError):
 
 class AlreadyExistsError(FragmentError):
     """The table or split exists and replacing it was not asked for."""
+
+
+class ConflictError(FragmentError):
+    """Another writer changed the table or split in the meantime."""

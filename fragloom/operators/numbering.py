@@ -214,15 +214,18 @@ def number_rows(
     """
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     keys = [_comparable(df, name).alias(f"k{i}") for i, name in enumerate(order_by)]
-    key_rows = df.select(*keys)
     total = df.count()
-    cuts = _cut_points(key_rows, total, _bucket_count(df, total, rows_per_bucket))
+    buckets = _bucket_count(df, total, rows_per_bucket)
+    cuts = _cut_points(df.select(*keys), total, buckets) if buckets > 1 else []
     bucketed = _with_bucket(df, keys, cuts)
-    counts = sorted((r[_BUCKET], r["count"]) for r in bucketed.groupBy(_BUCKET).count().collect())
+    if cuts:
+        counts = sorted((r[_BUCKET], r["count"]) for r in bucketed.groupBy(_BUCKET).count().collect())
+    else:
+        counts = [(0, total)]
     ranks = {bucket: rank for rank, (bucket, _) in enumerate(counts)}
     rank = F.get(_long_array([ranks.get(i, 0) for i in range(_bucket_limit(cuts))]), F.col(_BUCKET))
     # One task per bucket that holds rows; hashing would put several into some tasks.
-    placed = bucketed.withColumn(_BUCKET, rank.cast("int")).repartitionById(max(1, len(counts)), _BUCKET)
+    placed = bucketed.withColumn(_BUCKET, rank.cast("int")).repartitionById(len(counts), _BUCKET)
     in_bucket = Window.partitionBy(_BUCKET).orderBy(*[F.col(name).asc_nulls_first() for name in order_by])
     start = F.get(_start_offsets([n for _, n in counts]), F.col(_BUCKET))
     return placed.withColumn(into, start + F.row_number().over(in_bucket) - 1).drop(_BUCKET)

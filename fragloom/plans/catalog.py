@@ -2,8 +2,8 @@
 
 One small snapshot table, a row per stored table or split. Publishing writes the
 next snapshot, so whatever it names appears at once and only after its data is
-complete. One writer per store is assumed; of two that race for a snapshot, the
-second fails.
+complete. A store has one writer at a time; a second one is refused when it
+publishes a change to something that is no longer as it found it.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fragloom.errors import NotFragmentedError
+from fragloom.errors import ConflictError, NotFragmentedError
 from fragloom.functions.ranges import DEFAULT_COLUMN, DEFAULT_HI, DEFAULT_LO, RangeSpec
 from fragloom.operators.splits import last_fragment
 
@@ -101,6 +101,8 @@ class Catalog:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self._spark = spark
         self._path = f"{root}/_catalog"
+        # Snapshots never change once published, so entries found stay valid for their version.
+        self._found: dict[tuple[int, str, str], Entry | None] = {}
 
     def _read(self, path: str) -> DataFrame:
         return self._spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
@@ -128,8 +130,12 @@ class Catalog:
         version = self._version()
         if version < 0:
             return None
-        row = self._at(version).where((F.col("table_name") == table) & (F.col("kind") == kind)).first()
-        return _entry(row) if row else None
+        key = (version, table, kind)
+        if key not in self._found:
+            row = self._at(version).where((F.col("table_name") == table) & (F.col("kind") == kind)).first()
+            self._found = {k: e for k, e in self._found.items() if k[0] == version}
+            self._found[key] = _entry(row) if row else None
+        return self._found[key]
 
     def get(self, table: str, kind: str) -> Entry:
         """The entry, or an error that says what is missing."""
@@ -140,8 +146,16 @@ class Catalog:
             )
         return entry
 
-    def publish(self, *entries: Entry) -> None:
-        """Add or replace entries, all at once."""
+    def publish(self, *changes: tuple[Entry | None, Entry]) -> None:
+        """Add or replace entries, all at once.
+
+        A change is the entry it was made from, None for a new one, and its
+        successor. If an entry is no longer the former, nothing is published.
+        """
+        for before, after in changes:
+            if self.find(after.table_name, after.kind) != before:
+                raise ConflictError(f"{after.kind} of table {after.table_name!r} was changed by another writer")
+        entries = [after for _, after in changes]
         version = self._version()
         following = self._spark.range(1).select(F.inline(F.array(*[_literal(e) for e in entries])))
         if version >= 0:
@@ -157,6 +171,10 @@ class Catalog:
             if error.getCondition() != "PATH_ALREADY_EXISTS" or self._version() != version:
                 raise
             following.coalesce(1).write.mode("overwrite").parquet(target)
+        # What was not replaced is as before.
+        known = {k[1:]: e for k, e in self._found.items() if k[0] == version}
+        known |= {(e.table_name, e.kind): e for e in entries}
+        self._found = {(version + 1, *k): e for k, e in known.items()}
 
     def entries(self) -> DataFrame:
         """One row per table and split: fragments, rows, and the round-robin cursor."""

@@ -62,8 +62,8 @@ class FragmentStore:
         entry = self.catalog.find(table, BASE)
         if entry is not None and mode == "errorifexists":
             raise AlreadyExistsError(f"table {table!r} exists")
-        entry = entry or self._new_entry(table, BASE, rows.schema)
-        self.catalog.publish(self._write_base(entry, rows))
+        loaded = self._write_base(entry or self._new_entry(table, BASE, rows.schema), rows)
+        self.catalog.publish((entry, loaded))
 
     def base(self, table: str) -> DataFrame:
         """The rows of a loaded table."""
@@ -84,7 +84,7 @@ class FragmentStore:
         """Split a table into n equal-width ranges of a column: one scan, one write."""
         spec = RangeSpec(n, column, float(lo), float(hi), out_of_range)
         base = self.catalog.get(table, BASE)
-        self._may_create(table, RANGE, if_exists)
+        replaced = self._replaced(table, RANGE, if_exists)
         entry = self._new_entry(
             table,
             RANGE,
@@ -95,7 +95,8 @@ class FragmentStore:
             hi=spec.hi,
             out_of_range=out_of_range,
         )
-        self.catalog.publish(self._write_split(entry, assign_range(self._read(base), spec)))
+        split = assign_range(self._read(base), spec)
+        self.catalog.publish((replaced, self._write_split(entry, split)))
 
     def split_round_robin(
         self,
@@ -113,11 +114,11 @@ class FragmentStore:
         """
         check_fragment_count(n)
         base = self.catalog.get(table, BASE)
-        self._may_create(table, ROUND_ROBIN, if_exists)
+        replaced = self._replaced(table, ROUND_ROBIN, if_exists)
         entry = self._new_entry(table, ROUND_ROBIN, base.schema, partition_count=n)
         numbered = _number_stored(self._read(base), order_by, unique)
         split = assign_round_robin(numbered, n)
-        self.catalog.publish(self._write_split(entry, split, shuffled=order_by is not None))
+        self.catalog.publish((replaced, self._write_split(entry, split, shuffled=order_by is not None)))
 
     # -- appends -------------------------------------------------------------
 
@@ -132,9 +133,13 @@ class FragmentStore:
         entry = self.catalog.get(table, RANGE)
         if _is_committed(entry, stream):
             return
-        changed = [self._write_base(self.catalog.get(table, BASE), rows)] if also_base else []
+        changes = []
+        if also_base:
+            base = self.catalog.get(table, BASE)
+            changes.append((base, self._write_base(base, rows)))
         split = assign_range(_conform(rows, entry), entry.spec)
-        self.catalog.publish(*changed, self._write_split(entry, split, stream=stream))
+        changes.append((entry, self._write_split(entry, split, stream=stream)))
+        self.catalog.publish(*changes)
 
     def append_round_robin(
         self,
@@ -156,22 +161,23 @@ class FragmentStore:
         if _is_committed(entry, stream):
             return
         rows = _conform(rows, entry)
-        changed = []
+        changes = []
         start = entry.dealt
         stored = None
         if also_base:
             base = self.catalog.get(table, BASE)
             start = base.n_rows
-            changed = [self._write_base(base, rows)]
-            stored = self._read_commit(changed[0])
+            grown = self._write_base(base, rows)
+            changes.append((base, grown))
+            stored = self._read_commit(grown)
         elif order_by is None or not unique:
             staging = f"{self.root}/{table}/staging-{uuid.uuid4().hex}"
             rows.write.parquet(staging)
             stored = self.spark.read.schema(entry.schema).parquet(staging)
         numbered = number_rows(rows, order_by) if stored is None else _number_stored(stored, order_by, unique)
         split = assign_round_robin(numbered, entry.partition_count, start)
-        changed.append(self._write_split(entry, split, order_by is not None, start, stream))
-        self.catalog.publish(*changed)
+        changes.append((entry, self._write_split(entry, split, order_by is not None, start, stream)))
+        self.catalog.publish(*changes)
 
     # -- reading -------------------------------------------------------------
 
@@ -242,11 +248,14 @@ class FragmentStore:
         path = f"{self.root}/{table}/{kind}-{uuid.uuid4().hex}"
         return Entry(table, kind, path, schema.json(), **settings)
 
-    def _may_create(self, table: str, kind: str, if_exists: str) -> None:
+    def _replaced(self, table: str, kind: str, if_exists: str) -> Entry | None:
+        """The split a new one takes the place of, if that is allowed."""
         if if_exists not in ("error", "overwrite"):
             raise ValueError(f"if_exists must be error or overwrite, got {if_exists!r}")
-        if if_exists == "error" and self.catalog.find(table, kind) is not None:
+        entry = self.catalog.find(table, kind)
+        if entry is not None and if_exists == "error":
             raise AlreadyExistsError(f"table {table!r} has a {kind} split")
+        return entry
 
     def _read(self, entry: Entry) -> DataFrame:
         schema = entry.schema.add(_COMMIT, T.IntegerType())

@@ -1,10 +1,12 @@
 """Tables, splits, appends and reads in a store."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from fragloom import FragmentStore
-from fragloom.errors import AlreadyExistsError, NotFragmentedError
+from fragloom.errors import AlreadyExistsError, ConflictError, NotFragmentedError
 from fragloom.operators import checks
 from fragloom.operators.counts import expected_range_sizes, expected_round_robin_sizes
 from fragloom.functions.ranges import RangeSpec
@@ -260,6 +262,25 @@ def test_append_failing_before_publication_is_retried_in_place(spark, loaded, mo
     assert sizes(loaded, ROUND_ROBIN) == [5, 4, 4, 4, 4]
 
 
+def test_stale_writer_is_refused(spark, loaded):
+    """Another writer appends between this one's look at the catalog and its publishing."""
+    loaded.split_round_robin("ratings", 5)
+    entry = loaded.catalog.get("ratings", ROUND_ROBIN)
+    other = FragmentStore(spark, loaded.root)
+    other.append_round_robin("ratings", one(spark, 100, 1, 3.0))
+    with pytest.raises(ConflictError):
+        loaded.catalog.publish((entry, entry.after(1)))
+    assert loaded.cursor("ratings") == other.cursor("ratings") == (5, 0)
+    assert loaded.split("ratings", ROUND_ROBIN).count() == 21
+
+
+def test_publishing_over_an_empty_snapshot_folder(loaded):
+    """A publish that died left a folder without files."""
+    Path(loaded.root, "_catalog", "version=1").mkdir()
+    loaded.split_range("ratings", 5)
+    assert sizes(loaded, RANGE) == RANGE_SIZES
+
+
 # -- reading
 
 
