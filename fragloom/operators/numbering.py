@@ -211,6 +211,9 @@ def number_rows(
     The columns must identify a row, or tie only rows that are equal throughout.
     With a hot leading column add tie-breakers: cut points are taken from the
     whole tuple and so divide the hot value too.
+
+    The frame is read four times (count, key sample, bucket counts, rows), the
+    first three times for its keys only: pass a stored table or a persisted frame.
     """
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     keys = [_comparable(df, name).alias(f"k{i}") for i, name in enumerate(order_by)]

@@ -155,8 +155,9 @@ def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, observation = observe_load(customers, RangeSpec(N, "c_acctbal", 0.0, 5000.0))
     _loaded(spark, "load", rows)
     figures = observation.get
+    names = ("n_rows", "null_rows", "out_of_range_rows", "min_value", "max_value")
     schema = "n_rows bigint, null_rows bigint, out_of_range_rows bigint, min_value double, max_value double"
-    return spark.createDataFrame([tuple(figures[name] for name in T._parse_datatype_string(schema).names)], schema)
+    return spark.createDataFrame([tuple(figures[name] for name in names)], schema)
 
 
 def export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:

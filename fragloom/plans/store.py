@@ -59,6 +59,8 @@ class FragmentStore:
         """
         if mode not in ("append", "errorifexists"):
             raise ValueError(f"mode must be append or errorifexists, got {mode!r}")
+        if reserved := {_COMMIT, FRAGMENT_ID} & set(rows.columns):
+            raise ValueError(f"column names {sorted(reserved)} are used by the store itself")
         entry = self.catalog.find(table, BASE)
         if entry is not None and mode == "errorifexists":
             raise AlreadyExistsError(f"table {table!r} exists")
@@ -171,9 +173,7 @@ class FragmentStore:
             changes.append((base, grown))
             stored = self._read_commit(grown)
         elif order_by is None or not unique:
-            staging = f"{self.root}/{table}/staging-{uuid.uuid4().hex}"
-            rows.write.parquet(staging)
-            stored = self.spark.read.schema(entry.schema).parquet(staging)
+            stored = self._staged(rows, entry)
         numbered = number_rows(rows, order_by) if stored is None else _number_stored(stored, order_by, unique)
         split = assign_round_robin(numbered, entry.partition_count, start)
         changes.append((entry, self._write_split(entry, split, order_by is not None, start, stream)))
@@ -257,6 +257,13 @@ class FragmentStore:
             raise AlreadyExistsError(f"table {table!r} has a {kind} split")
         return entry
 
+    def _staged(self, rows: DataFrame, entry: Entry) -> DataFrame:
+        """The rows from files of their own, in the cluster's scratch folder if it names one."""
+        folder = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.root}/_staging"
+        path = f"{folder.rstrip('/')}/{entry.table_name}-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(entry.schema).parquet(path)
+
     def _read(self, entry: Entry) -> DataFrame:
         schema = entry.schema.add(_COMMIT, T.IntegerType())
         if entry.kind != BASE:

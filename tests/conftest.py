@@ -12,7 +12,15 @@ from fragloom.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
-    session = local_session(8, **{"spark.checkpoint.dir": str(shared)})
+    session = local_session(
+        4,
+        **{
+            "spark.checkpoint.dir": str(shared),
+            "spark.sql.shuffle.partitions": "4",
+            # Many short jobs: quick compilation beats the best code.
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1 -XX:+UseSerialGC",
+        },
+    )
     yield session
     session.stop()
 

@@ -69,6 +69,11 @@ def test_unknown_load_mode(store, sample):
         store.load("ratings", sample, mode="overwrite")
 
 
+def test_reserved_column_names(store, sample):
+    with pytest.raises(ValueError, match="fragment_id"):
+        store.load("ratings", sample.withColumnRenamed("userid", "fragment_id"))
+
+
 def test_missing_table(store):
     with pytest.raises(NotFragmentedError):
         store.base("ratings")
@@ -93,8 +98,7 @@ def test_range_split_of_sample(loaded, sample):
     assert loaded.partition_count("ratings", RANGE) == 5
 
 
-@pytest.mark.parametrize("order_by", [None, "movieid", ["rating", "movieid"]])
-@pytest.mark.parametrize("unique", [False, True])
+@pytest.mark.parametrize("order_by, unique", [(None, False), ("rating", False), (["rating", "movieid"], True)])
 def test_round_robin_split_of_sample(loaded, sample, order_by, unique):
     loaded.split_round_robin("ratings", 5, order_by, unique)
     assert sizes(loaded, ROUND_ROBIN) == ROUND_ROBIN_SIZES
@@ -201,8 +205,9 @@ def test_range_append_with_base(spark, loaded):
     assert loaded.base("ratings").count() == loaded.split("ratings", RANGE).count() == 21
 
 
-@pytest.mark.parametrize("order_by, unique", [(None, False), ("movieid", False), ("movieid", True)])
-@pytest.mark.parametrize("also_base", [False, True])
+@pytest.mark.parametrize(
+    "order_by, unique, also_base", [(None, False, False), ("movieid", False, True), ("movieid", True, False)]
+)
 def test_round_robin_append_continues(spark, loaded, order_by, unique, also_base):
     loaded.split_round_robin("ratings", 5)
     for start in (0, 3, 1):
