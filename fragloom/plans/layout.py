@@ -37,4 +37,6 @@ def write_split(assigned: DataFrame, path: str, n: int, shuffled: bool = False)
     """
     if needs_rebalance(assigned.sparkSession, n, shuffled):
         assigned = assigned.hint("rebalance", FRAGMENT_ID)
-    assigned.write.mode("overwrite").partitionBy(FRAGMENT_ID).parquet(path)
+    # A session set to overwrite single partitions would keep those of a failed attempt.
+    writer = assigned.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(FRAGMENT_ID).parquet(path)

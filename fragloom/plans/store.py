@@ -138,7 +138,9 @@ class FragmentStore:
         changes = []
         if also_base:
             base = self.catalog.get(table, BASE)
-            changes.append((base, self._write_base(base, rows)))
+            grown = self._write_base(base, rows)
+            changes.append((base, grown))
+            rows = self._read_commit(grown)
         split = assign_range(_conform(rows, entry), entry.spec)
         changes.append((entry, self._write_split(entry, split, stream=stream)))
         self.catalog.publish(*changes)

@@ -256,15 +256,20 @@ def test_copies_are_dealt_evenly(spark, loaded):
     assert sizes(loaded, ROUND_ROBIN) == [204] * 5
 
 
-def test_append_failing_before_publication_is_retried_in_place(spark, loaded, monkeypatch):
+def test_append_failing_before_publication_leaves_nothing(spark, loaded, monkeypatch):
+    """Not even in a session that overwrites only the partitions it writes."""
     loaded.split_round_robin("ratings", 5)
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    store = FragmentStore(session, loaded.root)
+    three = session.range(3).selectExpr("7 AS userid", "int(id) AS movieid", "1.0D AS rating")
     monkeypatch.setattr(store_module.Catalog, "publish", lambda *_: 1 / 0)
     with pytest.raises(ZeroDivisionError):
-        loaded.append_round_robin("ratings", one(spark, 100, 1, 3.0))
+        store.append_round_robin("ratings", three)
     monkeypatch.undo()
-    assert loaded.split("ratings", ROUND_ROBIN).count() == 20
-    loaded.append_round_robin("ratings", one(spark, 100, 1, 3.0))
-    assert sizes(loaded, ROUND_ROBIN) == [5, 4, 4, 4, 4]
+    assert store.split("ratings", ROUND_ROBIN).count() == 20
+    store.append_round_robin("ratings", one(session, 100, 1, 3.0))
+    assert sizes(store, ROUND_ROBIN) == [5, 4, 4, 4, 4]
 
 
 def test_stale_writer_is_refused(spark, loaded):
