@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from fragloom.llm.byte_bpe import op7_byte_bpe
 from fragloom.llm.decontaminate import op2_wu_manber_decontamination
 
 QUERIES = {
     "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
+    "op7_byte_bpe": op7_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {}
