@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from fragloom.llm.byte_bpe import op7_byte_bpe
 from fragloom.llm.decontaminate import op2_wu_manber_decontamination
+from fragloom.llm.sharding import op10_histogram_sort_shards
 
 QUERIES = {
     "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
+    "op10_histogram_sort_shards": op10_histogram_sort_shards,
 }
 
 ORACLES: dict[str, str] = {}
