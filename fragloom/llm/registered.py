@@ -5,11 +5,13 @@ from __future__ import annotations
 from fragloom.llm.byte_bpe import op7_byte_bpe
 from fragloom.llm.decontaminate import op2_wu_manber_decontamination
 from fragloom.llm.fingerprints import op1_chunk_fingerprints
+from fragloom.llm.quality import op3_fourier_quality
 from fragloom.llm.sharding import op10_histogram_sort_shards
 
 QUERIES = {
     "op1_chunk_fingerprints": op1_chunk_fingerprints,
     "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
+    "op3_fourier_quality": op3_fourier_quality,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_histogram_sort_shards": op10_histogram_sort_shards,
 }
