@@ -9,6 +9,7 @@ from fragloom.llm.fingerprints import op1_chunk_fingerprints
 from fragloom.llm.quality import op3_fourier_quality
 from fragloom.llm.sharding import op10_histogram_sort_shards
 from fragloom.llm.simhash import op5_multi_index_simhash
+from fragloom.llm.warc import op9_salvaged_warc
 
 QUERIES = {
     "op1_chunk_fingerprints": op1_chunk_fingerprints,
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_multi_index_simhash": op5_multi_index_simhash,
     "op6_prefix_target_chat": op6_prefix_target_chat,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_salvaged_warc": op9_salvaged_warc,
     "op10_histogram_sort_shards": op10_histogram_sort_shards,
 }
 
