@@ -29,15 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fragloom.llm.common import arrow_batches, stored, table
-from fragloom.llm.repeats import RepeatedRuns, WordText, _long, as_texts, covered, with_spans
+from fragloom.llm.repeats import RepeatedRuns, Runs, WordText, _long, as_texts, covered, with_spans
 
 
-def _edges(text: WordText, starts: np.ndarray, counts: np.ndarray, anchors: np.ndarray) -> Sequence:
+def _edges(text: WordText, paths: Runs) -> Sequence:
     """Every edge of some paths: anchor, edge, start."""
-    at = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    at = paths.windows()
     if not len(at):
         return [at] * 3
-    return [np.repeat(anchors, counts), text.stretch(at, text.size), at]
+    return [np.repeat(paths.anchors, paths.counts), text.stretch(at, text.size), at]
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:

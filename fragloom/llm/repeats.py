@@ -13,6 +13,7 @@ its id and `key`, a hash of id and text, so repeated rows are one document.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,28 @@ from fragloom.llm.common import batch_rows, quoted, stored, utf8
 _GATHER = 1 << 16
 
 
+@dataclass(frozen=True)
+class Runs:
+    """Of each run the start, the number of windows, the hash of its anchor and where that is."""
+
+    starts: np.ndarray
+    counts: np.ndarray
+    anchors: np.ndarray
+    places: np.ndarray
+
+    def where(self, keep: np.ndarray) -> Runs:
+        return Runs(self.starts[keep], self.counts[keep], self.anchors[keep], self.places[keep])
+
+    def windows(self) -> np.ndarray:
+        """Where every window of the runs starts, run by run."""
+        before = np.cumsum(self.counts) - self.counts
+        return np.repeat(self.starts - before, self.counts) + np.arange(self.counts.sum())
+
+
+_NONE = np.zeros(0, np.int64)
+_NO_RUNS = Runs(_NONE, _NONE, _NONE.view(np.uint64), _NONE)
+
+
 class WordText:
     """A text as words, `size` of which make a window."""
 
@@ -63,14 +86,13 @@ class WordText:
         """The hash of the words in each stretch."""
         return mixed((self.sums[starts + lengths] - self.sums[starts]) * WordText._inverse[starts])
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, numbers of windows and anchor hashes of the runs."""
+    def runs(self) -> Runs:
         n = len(self.words)
         if n < self.size:
             return _NO_RUNS
         grams = self.stretch(np.arange(n - self.gram + 1), self.gram)
         starts, counts, anchors = runs_of(grams, self.size, self.gram)
-        return starts, counts, grams[anchors]
+        return Runs(starts, counts, grams[anchors], anchors)
 
     def contents(self, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """A hash of the whole content of runs."""
@@ -87,7 +109,7 @@ class ByteText:
     def __init__(self, text: bytes):
         self.text = text
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def runs(self) -> Runs:
         n = len(self.text)
         if n < self.size:
             return _NO_RUNS
@@ -99,7 +121,7 @@ class ByteText:
             grams += eights[8 * k : 8 * k + pieces] * self._FACTORS[k]
         grams = mixed(grams)
         starts, counts, anchors = runs_of(grams, self.size, self.gram)
-        return starts, counts, grams[anchors]
+        return Runs(starts, counts, grams[anchors], anchors)
 
     def contents(self, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         digest, text, more = xxhash.xxh3_64_intdigest, self.text, self.size - 1
@@ -107,8 +129,6 @@ class ByteText:
         return np.fromiter((digest(text[s : s + n + more]) for s, n in places), np.uint64, len(starts))
 
 
-_NO_RUNS = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
-
 DOC = ("doc", "key")
 
 
@@ -171,18 +191,17 @@ class RepeatedRuns:
     """
 
     def __init__(self, texts: DataFrame, kind: type[WordText] | type[ByteText]):
-        anchors = scan(texts, _long("anchor"), lambda key, text: [kind(text).runs()[2]])
+        anchors = scan(texts, _long("anchor"), lambda key, text: [kind(text).runs().anchors])
         again = anchors.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
         wanted = bitmap_of(again)
 
         def repeated(key: int, text: bytes) -> Sequence:
             seen = kind(text)
-            starts, counts, anchors = seen.runs()
-            keep = held(wanted.value, anchors.view(np.int64))
-            starts, counts, anchors = starts[keep], counts[keep], anchors[keep]
-            if not len(starts):
-                return [starts] * 4
-            return [anchors, seen.contents(starts, counts), starts, counts]
+            runs = seen.runs()
+            runs = runs.where(held(wanted.value, runs.anchors.view(np.int64)))
+            if not len(runs.starts):
+                return [_NONE] * 4
+            return [runs.anchors, seen.contents(runs.starts, runs.counts), runs.starts, runs.counts]
 
         self.texts, self.kind = texts, kind
         self.places = stored(scan(texts, _long("anchor", "content", "start", "n"), repeated), "repeated-runs")
@@ -199,7 +218,7 @@ class RepeatedRuns:
         return self.places.join(whole, ["anchor", "content"])
 
     def open(self, among: Column, columns: Sequence[T.StructField], opened: Callable) -> DataFrame:
-        """Rows of `opened(text, starts, counts, anchors)` for one place of each run of `among` whose anchor has others.
+        """Rows of `opened(text, runs)` for one place of each run of `among` whose anchor has others.
 
         A few runs at other places may be opened as well.
         """
@@ -209,9 +228,8 @@ class RepeatedRuns:
 
         def find(key: int, text: bytes) -> Sequence:
             seen = kind(text)
-            starts, counts, anchors = seen.runs()
-            keep = held(wanted.value, np.int64(key) ^ starts)
-            return opened(seen, starts[keep], counts[keep], anchors[keep])
+            runs = seen.runs()
+            return opened(seen, runs.where(held(wanted.value, np.int64(key) ^ runs.starts)))
 
         return scan(self.texts, columns, find)
 
