@@ -36,7 +36,7 @@ def bitmap_of(hashes: DataFrame):
 
 def held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes the bitmap may hold."""
-    place = hashes.astype(np.int64) & (BITS - 1)
+    place = hashes.astype(np.int64) & (8 * len(bits) - 1)
     return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
 
 

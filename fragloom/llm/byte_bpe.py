@@ -38,6 +38,9 @@ BLOCK_PIECES = 400_000
 KNOWN_PIECES = 450_000
 FOREST_LEAVES = 1 << 19
 
+# Bytes beyond which a piece gets a tree by itself.
+LONG_PIECE = 256
+
 _NONE = np.iinfo(np.int64).max
 
 
@@ -158,6 +161,46 @@ class Forest:
         return [ids[start:end] for start, end in zip([0, *ends], ends, strict=False)]
 
 
+def merge_long(piece: bytes, ranks: dict[bytes, int]) -> bytes:
+    """The ids of one piece: the same tree in plain numbers, which suits a single long piece better."""
+    n = len(piece)
+    leaves = 1 << (n - 1).bit_length()
+    token = [piece[i : i + 1] for i in range(n)]
+    after, before = [*range(1, n), -1], list(range(-1, n - 1))
+    tree = [_NONE] * (2 * leaves)
+
+    def key(at: int) -> int:
+        rank = ranks.get(token[at] + token[after[at]]) if after[at] >= 0 else None
+        return _NONE if rank is None else rank * leaves + at
+
+    def put(at: int, value: int) -> None:
+        node = leaves + at
+        tree[node] = value
+        while node > 1:
+            least = min(tree[node], tree[node ^ 1])
+            node >>= 1
+            if tree[node] == least:
+                return
+            tree[node] = least
+
+    tree[leaves : leaves + n] = map(key, range(n))
+    for node in range(leaves - 1, 0, -1):
+        tree[node] = min(tree[2 * node], tree[2 * node + 1])
+    while tree[1] != _NONE:
+        at = tree[1] % leaves
+        gone = after[at]
+        token[at] += token[gone]
+        token[gone] = b""
+        after[at] = after[gone]
+        if after[at] >= 0:
+            before[after[at]] = at
+        put(gone, _NONE)
+        put(at, key(at))
+        if before[at] >= 0:
+            put(before[at], key(before[at]))
+    return np.array([ranks[t] for t in token if t], "<u4").tobytes()
+
+
 class Encoder:
     """Encode pieces and texts by one table of ranks."""
 
@@ -180,6 +223,8 @@ class Encoder:
             whole = self.ranks.get(raw)
             if whole is not None:
                 self.known[piece] = whole.to_bytes(4, "little")
+            elif len(raw) > LONG_PIECE:
+                self.known[piece] = merge_long(raw, self.ranks)
             else:
                 by_leaves.setdefault(1 << (len(raw) - 1).bit_length(), []).append((piece, raw))
         for leaves, group in by_leaves.items():

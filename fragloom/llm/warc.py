@@ -129,6 +129,8 @@ def _checked(head: bytes, block: bytes, start: int, end: int) -> Record:
     if not head.startswith(_VERSION_LINE):
         raise Damaged("no version line")
     headers = _headers(head.partition(b"\r\n")[2])
+    if not {"warc-type", "warc-record-id", "warc-date"} <= headers.keys():
+        raise Damaged("a required header is missing")
     stated = headers.get("warc-block-digest", "")
     if stated.startswith("sha1:") and stated[5:] != digest_of(block):
         raise Damaged("block digest differs")

@@ -1,0 +1,105 @@
+"""Small inputs with every awkward case, and plain helpers to compare results with."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from pyspark.sql import types as T
+
+UPPER = "".join(map(chr, range(65, 91)))
+LOWER = UPPER.lower()
+TO_LOWER = str.maketrans(UPPER, LOWER)
+
+# Besides the columns of documents, names that the operators use themselves.
+CLASHING = (
+    "key doc start n spans row hits items words fp part g r w id h turn cut anchor content place mask point ids "
+    "decoded stats score shard_ slot_ own ahead size is_next d k"
+).split()
+DOCUMENTS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+        *(T.StructField(name, T.StringType()) for name in CLASHING),
+    ]
+)
+
+
+def prose(seed: int, words: int) -> str:
+    rng = random.Random(seed)
+    syllables = ["the", "an", "tion", "re", "é", "ß", "日", "in", "o", "St", "7"]
+    out = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(words)]
+    for i in range(9, words, 10):
+        out[i] += rng.choice([".", ",", "\n", "!"])
+    return " ".join(out)
+
+
+def texts() -> list[tuple[int | None, str | None]]:
+    """(doc_id, text): nulls, empties, a long text, copies, near copies, shared passages, repeated rows."""
+    passage, long_passage = prose(1, 60), prose(2, 150)
+    base = prose(3, 300).split(" ")
+    near = base[:]
+    near[150] = "changed"
+    rows = [
+        (10, None),
+        (11, ""),
+        (12, " \t\n "),
+        (13, "one"),
+        (14, "Two words"),
+        (15, prose(4, 20)),
+        (16, prose(5, 19)),
+        (17, " ".join(base)),
+        (18, " ".join(near)),
+        (19, " ".join(base)),
+        (20, prose(6, 80) + " " + passage + " " + prose(7, 40)),
+        (21, passage + " " + prose(8, 50)),
+        (22, prose(9, 50) + "\t" + passage),
+        (23, prose(10, 30) + " " + long_passage + " " + prose(11, 30)),
+        (24, prose(12, 25) + " " + long_passage),
+        (25, "ab " * 700),
+        (26, "x" * 3000),
+        (27, prose(13, 9000)),
+        (28, passage + " " + passage),
+        (29, "tie"),
+        (29, "tie"),
+        (30, prose(14, 120)),
+        (30, prose(15, 120)),
+        (31, prose(16, 100)),
+        (31, prose(16, 100)),
+        (None, prose(17, 60)),
+        (None, "no id"),
+        (-5, prose(18, 40) + " don't 'll 12345   \n\n x"),
+        (1 << 40, "".join(chr(c) for c in range(1, 400))),
+    ]
+    # A crowd of rows around one passage, another of exact copies.
+    rows += [(100 + i, prose(100 + i, 15) + " " + passage + " " + prose(300 + i, 15)) for i in range(40)]
+    rows += [(200 + i, long_passage) for i in range(25)]
+    return rows
+
+
+def documents(spark, rows=None):
+    rows = texts() if rows is None else rows
+    full = [(i, t, "en", "src0", None if t is None else len(t), *[f"{name} {i}" for name in CLASHING]) for i, t in rows]
+    return spark.createDataFrame(full, DOCUMENTS).repartition(5)
+
+
+def write_tables(spark, folder: str, **tables) -> str:
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def rows_of(df) -> list[tuple]:
+    """All rows, in an order that does not depend on partitions."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def lower_words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(TO_LOWER))
+
+
+def space_words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")

@@ -1,0 +1,75 @@
+import hashlib
+import random
+
+from fixtures import documents, lower_words, prose, rows_of, texts
+
+from fragloom.llm import decontaminate as d
+
+ITEMS = [
+    (1, prose(20, 30)),
+    (2, prose(4, 20)),  # a whole document
+    (3, " ".join(prose(1, 60).split()[5:17])),  # inside the shared passage
+    (4, "words"),  # shorter than a window
+    (5, "TIE"),
+    (6, ""),
+    (7, None),
+    (8, "..."),
+    (9, " ".join(prose(1, 60).split()[5:17])),  # as 3
+    (10, "ab ab ab"),
+    (None, "one"),
+]
+
+
+def benchmark(spark, items=None):
+    return spark.createDataFrame(ITEMS if items is None else items, "item_id bigint, text string")
+
+
+def expected(rows, items):
+    windows = {}
+    for item, text in items:
+        words = lower_words(text)
+        for i in range(max(1, len(words) - 9) if words else 0):
+            windows.setdefault(tuple(words[i : i + 10]), set()).add("" if item is None else str(item))
+    sizes = {len(w) for w in windows}
+    out = []
+    for i, text in rows:
+        words = lower_words(text)
+        hit, found = set(), set()
+        for size in sizes:
+            for at in range(len(words) - size + 1):
+                if items_ := windows.get(tuple(words[at : at + size])):
+                    hit.update(range(at, at + size))
+                    found |= items_
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((i, len(words), len(hit), len(found), digest, bool(hit)))
+    return sorted(out, key=repr)
+
+
+def test_every_case_against_plain_search(spark):
+    assert rows_of(d.find_leaks(documents(spark), benchmark(spark))) == expected(texts(), ITEMS)
+
+
+def test_blocks_of_the_benchmark_give_the_same(spark):
+    assert rows_of(d.find_leaks(documents(spark), benchmark(spark), block_bytes=200)) == expected(texts(), ITEMS)
+
+
+def test_clean_documents_stay_whole(spark):
+    docs = documents(spark)
+    kept = d.drop_leaks(docs, benchmark(spark), block_bytes=200)
+    clean = {r[0] for r in expected(texts(), ITEMS) if not r[5]}
+    assert kept.schema == docs.schema
+    assert rows_of(kept) == [r for r in rows_of(docs) if r[0] in clean]
+
+
+def test_nothing_to_search(spark):
+    assert d.find_leaks(documents(spark, []), benchmark(spark)).collect() == []
+    assert not any(r.contaminated for r in d.find_leaks(documents(spark), benchmark(spark, [])).collect())
+
+
+def test_search_finds_what_plain_search_finds():
+    rng = random.Random(5)
+    for _ in range(300):
+        patterns = {bytes(rng.choices(b"ab ", k=rng.randint(1, 9))) for _ in range(rng.randint(1, 12))}
+        text = bytes(rng.choices(b"ab c", k=rng.randint(0, 80)))
+        got = sorted(d.WuManber(patterns).find(text))
+        assert got == sorted((i, p) for p in patterns for i in range(len(text)) if text.startswith(p, i))
