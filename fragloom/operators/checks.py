@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fragloom.functions.ranges import FRAGMENT_ID
+from fragloom.operators.numbering import whole_row
 
 
 def bag_difference(base: DataFrame, split: DataFrame) -> DataFrame:
@@ -13,21 +14,22 @@ def bag_difference(base: DataFrame, split: DataFrame) -> DataFrame:
 
     Both sides are counted in one aggregation over all columns, so copies are
     merged before the shuffle and a lost row cannot hide behind a doubled one.
+    Columns of map type cannot be compared; the query is refused.
     """
-    columns = base.columns
-    tagged = base.select(*columns, F.lit(1).alias("_in_base"), F.lit(0).alias("_in_split")).unionAll(
-        split.select(*columns, F.lit(0), F.lit(1))
+    rows = whole_row(base), whole_row(split.select(*(split["`" + c.replace("`", "``") + "`"] for c in base.columns)))
+    tagged = base.select(rows[0], F.lit(1).alias("b"), F.lit(0).alias("s")).unionAll(
+        split.select(rows[1], F.lit(0), F.lit(1))
     )
-    per_row = tagged.groupBy(*columns).agg(F.sum("_in_base").alias("_b"), F.sum("_in_split").alias("_s"))
+    per_row = tagged.groupBy("row").agg(F.sum("b").alias("b"), F.sum("s").alias("s"))
 
     def total(column):
         return F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
 
     return per_row.agg(
-        total(F.col("_b")).alias("base_rows"),
-        total(F.col("_s")).alias("split_rows"),
-        total(F.greatest(F.col("_b") - F.col("_s"), F.lit(0))).alias("missing_rows"),
-        total(F.greatest(F.col("_s") - F.col("_b"), F.lit(0))).alias("extra_rows"),
+        total(F.col("b")).alias("base_rows"),
+        total(F.col("s")).alias("split_rows"),
+        total(F.greatest(F.col("b") - F.col("s"), F.lit(0))).alias("missing_rows"),
+        total(F.greatest(F.col("s") - F.col("b"), F.lit(0))).alias("extra_rows"),
     )
 
 

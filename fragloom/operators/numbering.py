@@ -8,54 +8,55 @@ position of a row in its file is given by the reader, so a row number is the
 file's offset plus that position. No row is shuffled or sorted, and a re-run
 task computes the same numbers.
 
-`number_rows` numbers the rows by a total order. Cut points of the order key
-are chosen from a key sample and then fixed, so the bucket of a row is a pure
-function of its key. Each bucket goes to a task of its own, where its rows are numbered
-and shifted by the number of rows in the buckets before it. A hot value of the
-leading column is cut again by the columns behind it.
+`number_rows` numbers the rows by an order. They are dealt out by ranges of the
+key and a tie-breaker, sorted in their part and written once, each with its place;
+the row counts of the files then give the offset of each part. As the files fix
+what the exchange chose, its cut points are never chosen twice.
+
+Rows travel as one column, so names of the frame's columns are free.
 """
 
 from __future__ import annotations
 
-import json
-import math
-from bisect import bisect_right
-from collections import Counter
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from fragloom.session import scratch_path
 
 ROW_NUMBER = "row_index"
-FILE_PATH = "_file_path"
-FILE_ROW = "_file_row"
-
-# Rows a bucket should hold, the fewest worth a task of their own, and how many
-# buckets there may be. The last bounds what the driver handles: cut points,
-# bucket counts and the key sample.
-ROWS_PER_BUCKET = 1_000_000
-MIN_ROWS_PER_BUCKET = 10_000
-MAX_BUCKETS = 16_384
-SAMPLES_PER_BUCKET = 64
-
-# Files whose offsets are broadcast; with more files the join is shuffled.
-MAX_BROADCAST_FILES = 100_000
+
+# Bytes of file offsets, 16 a file, that are broadcast; beyond, the join is shuffled.
+MAX_BROADCAST_BYTES = 64 << 20
 FILE_GROUPS = 1024
 
-_BUCKET = "_bucket"
+# monotonically_increasing_id has the partition above this bit, the place below.
+_PLACE_BITS = 33
 
 
-def _long_array(values: Sequence[int]) -> Column:
-    """A literal array, sent as one string and folded by the optimizer."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+def _start_offsets(counts: Sequence[int]) -> Column:
+    """Per group, the number of rows in the groups before it: a literal array, folded by the optimizer."""
+    return F.split(F.lit(",".join(map(str, [0, *accumulate(counts)]))), ",").cast("array<bigint>")
 
 
-def _start_offsets(counts: Sequence[int]) -> Column:
-    """Per group, the number of rows in the groups before it."""
-    return _long_array([0, *accumulate(counts)])
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row as one."""
+    return F.struct(*(df["`" + name.replace("`", "``") + "`"] for name in df.columns)).alias("row")
+
+
+def free_name(df: DataFrame, name: str = ROW_NUMBER) -> str:
+    """The name, with underscores in front until the frame has no such column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def _refuse_taken(df: DataFrame, into: str) -> None:
+    if into.lower() in {column.lower() for column in df.columns}:
+        raise ValueError(f"the frame has a column {into!r} already; name another one for the row number")
 
 
 def number_stored_rows(stored: DataFrame, into: str = ROW_NUMBER) -> DataFrame:
@@ -63,172 +64,68 @@ def number_stored_rows(stored: DataFrame, into: str = ROW_NUMBER) -> DataFrame:
 
     `stored` must come straight from a parquet scan and may be filtered by
     partition columns only. Files are ordered by (hash group, path), which lets
-    the running sum over files run in parallel too.
+    the running sum over files run in parallel too, and known to the join by an
+    8-byte hash of their path.
     """
+    _refuse_taken(stored, into)
+    path = F.col("_metadata.file_path")
     files = (
-        stored.groupBy(F.col("_metadata.file_path").alias(FILE_PATH))
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_group", F.pmod(F.xxhash64(FILE_PATH), F.lit(FILE_GROUPS)).cast("int"))
+        stored.groupBy(path.alias("path"))
+        .agg(F.count("*").alias("rows"))
+        .withColumn("file", F.xxhash64("path"))
+        .withColumn("group", F.pmod(F.col("file"), F.lit(FILE_GROUPS)).cast("int"))
     )
-    groups = files.groupBy("_group").agg(F.sum("_rows").alias("rows"), F.count("*").alias("files")).collect()
-    group_rows = {g["_group"]: g["rows"] for g in groups}
+    groups = (
+        files.groupBy("group")
+        .agg(F.sum("rows").alias("rows"), F.count("*").alias("files"), F.count_distinct("file").alias("ids"))
+        .collect()
+    )
+    if any(g["files"] != g["ids"] for g in groups):
+        raise ValueError("two files have paths of the same hash; rewrite the table")
+    group_rows = {g["group"]: g["rows"] for g in groups}
     start = _start_offsets([group_rows.get(i, 0) for i in range(FILE_GROUPS)])
-    in_group = Window.partitionBy("_group").orderBy(FILE_PATH).rowsBetween(Window.unboundedPreceding, 0)
+    in_group = Window.partitionBy("group").orderBy("path").rowsBetween(Window.unboundedPreceding, 0)
     offsets = files.select(
-        FILE_PATH,
-        (F.get(start, F.col("_group")) + F.sum("_rows").over(in_group) - F.col("_rows")).alias("_offset"),
+        "file", (F.get(start, F.col("group")) + F.sum("rows").over(in_group) - F.col("rows")).alias("offset")
     )
-    if sum(g["files"] for g in groups) <= MAX_BROADCAST_FILES:
+    if 16 * sum(g["files"] for g in groups) <= MAX_BROADCAST_BYTES:
         offsets = F.broadcast(offsets)
     positioned = stored.select(
-        "*",
-        F.col("_metadata.file_path").alias(FILE_PATH),
-        F.col("_metadata.row_index").alias(FILE_ROW),
-    )
-    number = F.col("_offset") + F.col(FILE_ROW)
-    return positioned.join(offsets, FILE_PATH).select(*stored.columns, number.alias(into))
-
-
-def _comparable(df: DataFrame, name: str) -> Column:
-    """The key in a type whose values survive JSON, in the same order."""
-    kind = df.schema[name].dataType
-    key = F.col(name)
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-        return key.cast("bigint")
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return key.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(key)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(key)
-    if isinstance(kind, T.TimestampNTZType):
-        # By calendar and clock, so that no time zone rule can reorder values.
-        clock = (F.hour(key) * 60 + F.minute(key)) * 60 + F.extract(F.lit("SECOND"), key)
-        return F.unix_date(key.cast("date")) * F.lit(86_400_000_000) + (clock * 1_000_000).cast("bigint")
-    if isinstance(kind, (T.StringType, T.DecimalType)):
-        return key
-    raise TypeError(f"cannot order by {name} of type {kind.simpleString()}")
-
-
-def _bucket_count(df: DataFrame, total: int, rows_per_bucket: int) -> int:
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(-(-total // rows_per_bucket), min(tasks, total // MIN_ROWS_PER_BUCKET))
-    return min(MAX_BUCKETS, max(1, wanted))
-
-
-def _cut_points(keys: DataFrame, total: int, buckets: int) -> list[Row]:
-    """At most buckets - 1 key rows, ascending, that cut the rows about evenly."""
-    wanted = buckets * SAMPLES_PER_BUCKET
-    sample = keys if total <= wanted else keys.sample(fraction=wanted / total, seed=7)
-    rows = sample.orderBy(*keys.columns).collect()
-    cuts = [rows[i * len(rows) // buckets] for i in range(1, buckets)] if rows else []
-    return list(dict.fromkeys(cuts))
-
-
-def _cuts_below(df: DataFrame, keys: list[Column], cuts: list[Row]) -> Column:
-    """How many cuts lie below the row's key: a binary search over a literal array.
-
-    It is interpreted, at some microseconds a row, so it is kept for rows that a
-    search on the leading column alone cannot place.
-    """
-    key = F.struct(*keys)
-    schema = df.select(F.array(key)).schema[0].dataType.simpleString()
-    cut_array = F.from_json(F.lit(json.dumps([row.asDict() for row in cuts], default=str)), schema)
-    steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
-    return F.aggregate(
-        F.array(*map(F.lit, steps)),
-        F.lit(0),
-        lambda pos, step: F.when(
-            (pos + step <= F.lit(len(cuts))) & (F.get(cut_array, pos + step - 1) < key), pos + step
-        ).otherwise(pos),
+        whole_row(stored), F.xxhash64(path).alias("file"), F.col("_metadata.row_index").alias("place")
     )
-
-
-def _lead(cut: Row) -> float | None:
-    """The leading value of a cut as Bucketizer sees it; every NaN is the same one."""
-    if cut[0] is None:
-        return None
-    value = float(cut[0])
-    return math.nan if math.isnan(value) else value
-
-
-def _with_bucket(df: DataFrame, keys: list[Column], cuts: list[Row]) -> DataFrame:
-    """Add the bucket, which grows with the key and is below `_bucket_limit`.
-
-    A numeric leading column alone decides the slot of a row: NULL, one slot
-    between every two values cut, NaN. Slots whose value is cut more than once
-    are divided by a search for the whole key.
-    """
-    if not cuts:
-        return df.withColumn(_BUCKET, F.lit(0))
-    if not isinstance(df.select(keys[0]).schema[0].dataType, T.NumericType):
-        return df.withColumn(_BUCKET, _cuts_below(df, keys, cuts))
-
-    leads = Counter(map(_lead, cuts))
-    points = sorted(v for v in leads if v is not None and math.isfinite(v))
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *(points or [0.0]), math.inf],
-        inputCol="_lead",
-        outputCol=_BUCKET,
-        handleInvalid="keep",  # NaN gets the slot behind all others
-    )
-    slotted = bucketizer.transform(df.withColumn("_lead", keys[0].cast("double"))).drop("_lead")
-    slot = F.coalesce(F.col(_BUCKET).cast("int") + 1, F.lit(0))
-
-    hot = {v for v, times in leads.items() if times > 1} if len(keys) > 1 else set()
-    if not hot:
-        return slotted.withColumn(_BUCKET, slot)
-    n_slots = max(len(points), 1) + 3
-
-    def slot_of(value: float | None) -> int:
-        if value is None:
-            return 0
-        return n_slots - 1 if math.isnan(value) else 1 + bisect_right(points, value)
-
-    hot_cuts = [cut for cut in cuts if _lead(cut) in hot]
-    inside = Counter(slot_of(_lead(cut)) for cut in hot_cuts)
-    seen = accumulate(inside[i] for i in range(n_slots))
-    # Per slot, the number of hot cuts below all of it; -1 where some lie inside.
-    below = [-1 if inside[i] else n for i, n in enumerate(seen)]
-    known = F.get(_long_array(below), slot).cast("int")
-    return slotted.withColumn(
-        _BUCKET, slot + F.when(known >= 0, known).otherwise(_cuts_below(df, keys, hot_cuts))
-    )
-
-
-def _bucket_limit(cuts: list[Row]) -> int:
-    return 2 * len(cuts) + 4
+    number = F.col("offset") + F.col("place")
+    return positioned.join(offsets, "file").select("row.*", number.alias(into))
 
 
 def number_rows(
     df: DataFrame,
     order_by: str | Sequence[str],
     into: str = ROW_NUMBER,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    scratch: str | None = None,
+    parts: int = 0,
 ) -> DataFrame:
-    """Number all rows by a total order of `order_by`, ascending, NULLs first.
-
-    The columns must identify a row, or tie only rows that are equal throughout.
-    With a hot leading column add tie-breakers: cut points are taken from the
-    whole tuple and so divide the hot value too.
+    """Number all rows by `order_by`, ascending, NULLs first; rows alike in it follow in any order.
 
-    The frame is read four times (count, key sample, bucket counts, rows), the
-    first three times for its keys only: pass a stored table or a persisted frame.
+    A value that many rows share is divided by the tie-breaker, the place a row was
+    read at. The rows are written once, to `scratch` or a fresh path below the shared
+    folder; the caller removes them when the result is no longer needed. They are sorted in
+    `parts`, or as many as shuffles have if that is more; choose it by the stored size of
+    large input. A key of a type that has no order is an error.
     """
+    _refuse_taken(df, into)
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    keys = [_comparable(df, name).alias(f"k{i}") for i, name in enumerate(order_by)]
-    total = df.count()
-    buckets = _bucket_count(df, total, rows_per_bucket)
-    cuts = _cut_points(df.select(*keys), total, buckets) if buckets > 1 else []
-    bucketed = _with_bucket(df, keys, cuts)
-    if cuts:
-        counts = sorted((r[_BUCKET], r["count"]) for r in bucketed.groupBy(_BUCKET).count().collect())
-    else:
-        counts = [(0, total)]
-    ranks = {bucket: rank for rank, (bucket, _) in enumerate(counts)}
-    rank = F.get(_long_array([ranks.get(i, 0) for i in range(_bucket_limit(cuts))]), F.col(_BUCKET))
-    # One task per bucket that holds rows; hashing would put several into some tasks.
-    placed = bucketed.withColumn(_BUCKET, rank.cast("int")).repartitionById(len(counts), _BUCKET)
-    in_bucket = Window.partitionBy(_BUCKET).orderBy(*[F.col(name).asc_nulls_first() for name in order_by])
-    start = F.get(_start_offsets([n for _, n in counts]), F.col(_BUCKET))
-    return placed.withColumn(into, start + F.row_number().over(in_bucket) - 1).drop(_BUCKET)
+    spark = df.sparkSession
+    scratch = scratch or scratch_path(spark, "numbered")
+    keys = [df[name].alias(f"k{i}") for i, name in enumerate(order_by)]
+    names = [f"k{i}" for i in range(len(keys))]
+    keyed = df.select(whole_row(df), *keys, F.monotonically_increasing_id().alias("tie"))
+    parts = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    in_parts = keyed.repartitionByRange(parts, *names, "tie").sortWithinPartitions(*names, "tie")
+    placed = in_parts.select("row", F.monotonically_increasing_id().alias("at"))
+    placed.write.parquet(scratch)
+    placed = spark.read.schema(placed.schema).parquet(scratch)
+    part = F.shiftright("at", _PLACE_BITS)
+    counts = {r["part"]: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
+    start = _start_offsets([counts.get(i, 0) for i in range(max(counts, default=0) + 1)])
+    number = F.get(start, part.cast("int")) + F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return placed.select("row.*", number.alias(into))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +16,10 @@ def round_robin_fragment(position: Column, n: int, start: int = 0) -> Column:
     return F.pmod(position + F.lit(start), F.lit(n)).cast("int")
 
 
-def assign_round_robin(numbered: DataFrame, n: int, start: int = 0) -> DataFrame:
-    """Turn the row number of a numbered frame into ``fragment_id``."""
-    assigned = numbered.withColumn(FRAGMENT_ID, round_robin_fragment(F.col(ROW_NUMBER), n, start))
-    return assigned.drop(ROW_NUMBER)
+def assign_round_robin(numbered: DataFrame, n: int, start: int = 0, number: str = ROW_NUMBER) -> DataFrame:
+    """Turn the row number of a numbered frame, its column `number`, into ``fragment_id``."""
+    assigned = numbered.withColumn(FRAGMENT_ID, round_robin_fragment(F.col(number), n, start))
+    return assigned.drop(number)
 
 
 def last_fragment(n_rows: Column, n: int | Column) -> Column:
@@ -30,5 +29,8 @@ def last_fragment(n_rows: Column, n: int | Column) -> Column:
 
 
 def union_of_fragments(split: DataFrame, fragments: Iterable[int]) -> DataFrame:
-    """UNION ALL of single-fragment scans, each reading its own directory only."""
-    return reduce(DataFrame.unionAll, [split.where(F.col(FRAGMENT_ID) == i) for i in fragments])
+    """The rows of several fragments: one scan, which reads their directories only."""
+    fragments = list(fragments)
+    if len(set(fragments)) < len(fragments):
+        raise ValueError("a fragment is named twice")
+    return split.where(F.col(FRAGMENT_ID).isin(fragments))

@@ -20,12 +20,16 @@ from pyspark.sql import types as T
 from fragloom.errors import ConflictError, NotFragmentedError
 from fragloom.functions.ranges import DEFAULT_COLUMN, DEFAULT_HI, DEFAULT_LO, RangeSpec
 from fragloom.operators.splits import last_fragment
+from fragloom.session import remove_path
 
 BASE, RANGE, ROUND_ROBIN = "base", "range", "round_robin"
 
 # The names fragments are known by.
 FRAGMENT_PREFIX = {RANGE: "range_part", ROUND_ROBIN: "rrobin_part"}
 
+# Snapshots that stay for readers that began before a change; so many folders are listed.
+KEPT_SNAPSHOTS = 8
+
 SNAPSHOT_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType(), False),
@@ -146,21 +150,25 @@ class Catalog:
             )
         return entry
 
-    def publish(self, *changes: tuple[Entry | None, Entry]) -> None:
-        """Add or replace entries, all at once.
+    def publish(self, *changes: tuple[Entry | None, Entry | None]) -> None:
+        """Add, replace or remove entries, all at once.
 
         A change is the entry it was made from, None for a new one, and its
-        successor. If an entry is no longer the former, nothing is published.
+        successor, None to remove it. If an entry is no longer the former, nothing is
+        published. Snapshots but for the last `KEPT_SNAPSHOTS` are removed.
         """
-        for before, after in changes:
-            if self.find(after.table_name, after.kind) != before:
-                raise ConflictError(f"{after.kind} of table {after.table_name!r} was changed by another writer")
-        entries = [after for _, after in changes]
+        named = [before or after for before, after in changes]
+        for (before, _), one in zip(changes, named):
+            if self.find(one.table_name, one.kind) != before:
+                raise ConflictError(f"{one.kind} of table {one.table_name!r} was changed by another writer")
+        entries = [after for _, after in changes if after is not None]
         version = self._version()
-        following = self._spark.range(1).select(F.inline(F.array(*[_literal(e) for e in entries])))
+        following = self._spark.createDataFrame([], SNAPSHOT_SCHEMA)
+        if entries:
+            following = self._spark.range(1).select(F.inline(F.array(*[_literal(e) for e in entries])))
         if version >= 0:
             kept = self._at(version)
-            for e in entries:
+            for e in named:
                 kept = kept.where((F.col("table_name") != e.table_name) | (F.col("kind") != e.kind))
             following = kept.unionByName(following)
         target = f"{self._path}/version={version + 1}"
@@ -173,8 +181,10 @@ class Catalog:
             following.coalesce(1).write.mode("overwrite").parquet(target)
         # What was not replaced is as before.
         known = {k[1:]: e for k, e in self._found.items() if k[0] == version}
-        known |= {(e.table_name, e.kind): e for e in entries}
+        known |= {(one.table_name, one.kind): after for one, (_, after) in zip(named, changes)}
         self._found = {(version + 1, *k): e for k, e in known.items()}
+        if version + 1 >= KEPT_SNAPSHOTS:
+            remove_path(self._spark, f"{self._path}/version={version + 1 - KEPT_SNAPSHOTS}")
 
     def entries(self) -> DataFrame:
         """One row per table and split: fragments, rows, and the round-robin cursor."""

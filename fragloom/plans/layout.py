@@ -2,41 +2,68 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fragloom.functions.ranges import FRAGMENT_ID
 
-# Smallest file size worth writing without a shuffle.
-MIN_FILE_BYTES = 8 << 20
+# Size that files should have, and the smallest worth writing without a shuffle.
+FILE_BYTES = 128 << 20
+SMALL_FILE_BYTES = FILE_BYTES // 8
 
 
-def _bytes_setting(spark: SparkSession, key: str) -> int:
-    text = spark.conf.get(key).strip().lower().removesuffix("b")
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    return int(text[:-1]) << units[text[-1]] if text[-1] in units else int(text)
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
 
 
-def needs_rebalance(spark: SparkSession, n: int, shuffled: bool) -> bool:
-    """Whether tasks that each write all n fragments would write files too small.
+def plan_tasks(sizes: Sequence[float], tasks: int) -> list[tuple[int, int]]:
+    """For fragments of these sizes in bytes the first task that writes each, and how many do.
 
-    A task reads about one input split (or one advisory-sized shuffle partition)
-    and divides it among n files. Without adaptive execution the rebalance could
-    not divide a hot fragment, so rows are then written where they are.
+    A large fragment is divided among tasks of its own, a file each; small ones share a task
+    up to an even share of the whole for `tasks` of them.
     """
-    if spark.conf.get("spark.sql.adaptive.enabled").lower() != "true":
-        return False
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes" if shuffled else "spark.sql.files.maxPartitionBytes"
-    return _bytes_setting(spark, key) // n < MIN_FILE_BYTES
+    share = min(FILE_BYTES, sum(sizes) / max(1, tasks))
+    plan: list[tuple[int, int]] = []
+    following, room = 0, -1.0
+    for size in sizes:
+        files = max(1, math.ceil(size / FILE_BYTES))
+        if files == 1 and size <= room:
+            plan.append((following - 1, 1))
+            room -= size
+        else:
+            plan.append((following, files))
+            following += files
+            room = share - size if files == 1 else -1.0
+    return plan
 
 
-def write_split(assigned: DataFrame, path: str, n: int, shuffled: bool = False) -> None:
-    """Write rows into one directory per fragment, in a single pass.
+def write_split(
+    assigned: DataFrame, path: str, n: int, in_bytes: int, rows: Sequence[int] | None = None
+) -> None:
+    """Write rows into one directory per fragment.
 
-    With few fragments no row is shuffled. With many, Spark's rebalance gathers
-    each fragment, splitting a hot one over several tasks and packing small ones.
+    `in_bytes` is the stored size of the rows. If files stay large enough, each task writes its own
+    and no row is shuffled. Otherwise tasks get fragments, or parts of them, by their size,
+    which `rows`, or one count, tells: adaptive execution is not needed for it. Rows are
+    read twice then, so the frame must come from stored files.
     """
-    if needs_rebalance(assigned.sparkSession, n, shuffled):
-        assigned = assigned.hint("rebalance", FRAGMENT_ID)
+    # A scan has a task for each core, more where the splits of its files would be too large.
+    read_tasks = max(assigned.sparkSession.sparkContext.defaultParallelism, in_bytes // FILE_BYTES)
+    if in_bytes / (read_tasks * n) < SMALL_FILE_BYTES:
+        if rows is None:
+            counted = dict(assigned.groupBy(FRAGMENT_ID).count().collect())
+            rows = [counted.get(i, 0) for i in range(n)]
+        row_bytes = in_bytes / max(1, sum(rows))
+        plan = plan_tasks([r * row_bytes for r in rows], read_tasks)
+        first, files = (F.split(F.lit(",".join(str(p[k]) for p in plan)), ",").cast("array<int>") for k in (0, 1))
+        fragment = F.col(FRAGMENT_ID)
+        task = F.get(first, fragment) + F.pmod(F.monotonically_increasing_id(), F.get(files, fragment)).cast("int")
+        assigned = assigned.repartitionById(max(a + b for a, b in plan), task)
     # A session set to overwrite single partitions would keep those of a failed attempt.
     writer = assigned.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(FRAGMENT_ID).parquet(path)

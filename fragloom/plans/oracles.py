@@ -22,12 +22,10 @@ def _ratings(query: str) -> str:
 
 
 def _by_bounds(value: str, bounds: list[float]) -> str:
-    """A CASE over explicit bounds: closed below for the first range, open for the others."""
-    cases = [
-        f"WHEN {value} {'>=' if i == 0 else '>'} {low} AND {value} <= {high} THEN {i}"
-        for i, (low, high) in enumerate(zip(bounds, bounds[1:]))
-    ]
-    return f"CAST(CASE {' '.join(cases)} END AS INT)"
+    """A CASE over explicit bounds: the first range closed, then ascending upper bounds."""
+    first = f"WHEN {value} < {bounds[0]} THEN NULL WHEN {value} BETWEEN {bounds[0]} AND {bounds[1]} THEN 0"
+    others = " ".join(f"WHEN {value} <= {high} THEN {i}" for i, high in enumerate(bounds[2:], 1))
+    return f"CAST(CASE {first} {others} END AS INT)"
 
 
 def _half_star_fragment(n: str) -> str:
@@ -76,6 +74,20 @@ ORACLES: dict[str, str] = {
     "load_ignore_errors": _ratings("""
         SELECT userid, movieid, rating FROM r
         WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""),
+    "load_reject_report": """
+        SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'short' WHEN '2-HIGH' THEN 'long'
+                    WHEN '3-MEDIUM' THEN 'untypable userid' ELSE 'accepted' END AS reason,
+               CAST(count(*) AS BIGINT) AS n_lines
+        FROM orders GROUP BY 1""",
+    "check_load": """
+        WITH c AS (SELECT CAST(count(*) AS BIGINT) AS n,
+                          CAST(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS BIGINT) AS short,
+                          CAST(count(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS BIGINT)
+                            AS bad
+                   FROM orders)
+        SELECT 'fail' AS policy, n AS n_lines, CAST(0 AS BIGINT) AS left_out, n AS stored_rows, true AS agrees FROM c
+        UNION ALL SELECT 'drop_short', n, short, n - short, true FROM c
+        UNION ALL SELECT 'skip', n, bad, n - bad, true FROM c""",
     "load_append_twice": _ratings("""
         SELECT userid, movieid, rating FROM r UNION ALL SELECT userid, movieid, rating FROM r"""),
     "load_metrics": """
@@ -136,6 +148,19 @@ ORACLES: dict[str, str] = {
                      CAST((row_number() OVER (ORDER BY userid, movieid) - 1) % 5 AS INT) AS fragment_id
               FROM r)
         GROUP BY userid, fragment_id"""),
+    "rr_partition_reserved_name": """
+        SELECT o_orderkey, o_custkey AS row_index, o_totalprice AS "row",
+               CAST((row_number() OVER (ORDER BY o_orderkey) - 1) % 5 AS INT) AS fragment_id
+        FROM orders""",
+    "append_compacted": f"""
+        WITH {_RATINGS}, dealt AS (
+          SELECT userid, movieid, rating,
+                 CAST((row_number() OVER (
+                   ORDER BY CASE WHEN {_OLD} THEN 0 WHEN movieid % 2 = 0 THEN 1 ELSE 2 END, movieid) - 1) % 5 AS INT)
+                   AS fragment_id
+          FROM r)
+        SELECT userid, movieid, rating, fragment_id FROM dealt
+        UNION ALL SELECT userid, movieid, rating, CAST(-1 AS INT) FROM r""",
     "rr_append": f"WITH {_RATINGS}, {_DEALT} SELECT userid, movieid, rating, fragment_id FROM dealt",
     "rr_append_with_base": f"""
         WITH {_RATINGS}, {_DEALT}
@@ -174,6 +199,18 @@ ORACLES: dict[str, str] = {
         SELECT CAST(count(*) AS BIGINT) AS n_rows
         FROM (SELECT userid, movieid, rating FROM r UNION ALL SELECT 100, 2, 3.0)
         WHERE rating > 2 AND rating <= 3 AND userid = 100 AND movieid = 2 AND rating = 3"""),
+    "rr_point_lookup": """
+        SELECT CAST(i AS INT) AS fragment_id,
+               CAST(CASE WHEN i = (SELECT count(*) FROM orders) % 5 THEN 1 ELSE 0 END
+                    + (SELECT count(*) FROM (SELECT o_custkey AS u, o_orderkey AS m, o_orderkey % 11 AS r2,
+                                                    (row_number() OVER (ORDER BY o_orderkey) - 1) % 5 AS f FROM orders)
+                       WHERE u = 100 AND m = 1 AND r2 = 6 AND f = i) AS BIGINT) AS n_rows
+        FROM range(5) AS t(i)""",
+    "lookup_defaults": """
+        SELECT 'ratings' AS table_name, CAST(CASE WHEN count(*) >= 0 THEN 5 END AS INT) AS range_count,
+               CAST(0 AS INT) AS round_robin_count, CAST(0 AS INT) AS cursor_count, CAST(-1 AS INT) AS last_index
+        FROM orders
+        UNION ALL SELECT 'unknown', 0, 0, 0, -1""",
     "check_completeness": f"""
         WITH split AS (SELECT c_custkey, c_acctbal FROM customer WHERE {_BALANCE} IS NOT NULL),
              missing AS (SELECT c_custkey, c_acctbal FROM customer EXCEPT ALL SELECT * FROM split)

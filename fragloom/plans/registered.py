@@ -8,6 +8,7 @@ key. Ids are BIGINT here because order keys outgrow INT on large tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,17 @@ from fragloom.functions.ranges import FRAGMENT_ID, RangeSpec, assign_range, frag
 from fragloom.operators import checks, counts
 from fragloom.operators.numbering import number_rows, number_stored_rows
 from fragloom.operators.splits import last_fragment, union_of_fragments
-from fragloom.plans.catalog import FRAGMENT_PREFIX, RANGE, ROUND_ROBIN
+from fragloom.plans.catalog import BASE, FRAGMENT_PREFIX, RANGE, ROUND_ROBIN
 from fragloom.plans.store import FragmentStore
 from fragloom.session import scratch_path
-from fragloom.sources.delimited import SEPARATOR, read_delimited, read_lines, read_with_fillers
+from fragloom.sources.delimited import (
+    SEPARATOR,
+    load_check,
+    read_delimited,
+    read_lines,
+    read_with_fillers,
+    reject_report,
+)
 from fragloom.sources.exports import write_csv, write_lines, write_tsv
 from fragloom.sources.metrics import observe_load
 from fragloom.streaming.appends import range_file_stream, store_stream
@@ -82,7 +90,7 @@ def _range_split(spark: SparkSession, sf_dir: str, n: int = N) -> FragmentStore:
 
 def _round_robin_split(spark: SparkSession, sf_dir: str, n: int = N) -> FragmentStore:
     store = _loaded(spark, "rrobin", ratings(spark, sf_dir))
-    store.split_round_robin(TABLE, n, order_by="movieid", unique=True)
+    store.split_round_robin(TABLE, n, order_by="movieid")
     return store
 
 
@@ -143,6 +151,23 @@ def load_ignore_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, "load", rows).base(TABLE)
 
 
+def load_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why lines of the damaged file would fail a strict load, and how many."""
+    return reject_report(spark, _ratings_file(spark, sf_dir, damaged=True), RATINGS)
+
+
+def check_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a file against rows stored from it, under each policy."""
+    good, damaged = _ratings_file(spark, sf_dir), _ratings_file(spark, sf_dir, damaged=True)
+    text_user = T.StructType([T.StructField("userid", T.StringType()), *RATINGS.fields[1:]])
+    found = []
+    for policy, path, columns in (("fail", good, RATINGS), ("drop_short", damaged, text_user), ("skip", damaged, RATINGS)):
+        store = _loaded(spark, "load", read_lines(spark, path, columns, bad_records=policy))
+        checked = load_check(spark, path, store.base(TABLE), policy, columns)
+        found.append(checked.select(F.lit(policy).alias("policy"), "*"))
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
 def load_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _loaded(spark, "load", ratings(spark, sf_dir))
     store.load(TABLE, ratings(spark, sf_dir))
@@ -280,17 +305,40 @@ def rr_partition_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rr_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _ratings_by_age(spark, sf_dir)
     store = _loaded(spark, "rrobin", old)
-    store.split_round_robin(TABLE, N, order_by="movieid", unique=True)
-    store.append_round_robin(TABLE, new, order_by="movieid", unique=True)
+    store.split_round_robin(TABLE, N, order_by="movieid")
+    store.append_round_robin(TABLE, new, order_by="movieid")
     return store.split(TABLE, ROUND_ROBIN)
 
 
+def rr_partition_reserved_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dealt out in key order, with columns of names that numbering uses itself."""
+    orders = _table(spark, sf_dir, "orders")
+    named = orders.select("o_orderkey", F.col("o_custkey").alias("row_index"), F.col("o_totalprice").alias("row"))
+    store = _loaded(spark, "rrobin", named)
+    store.split_round_robin(TABLE, N, order_by="o_orderkey")
+    return store.split(TABLE, ROUND_ROBIN)
+
+
+def append_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split and its base after appends, compaction, and one more append."""
+    old, new = _ratings_by_age(spark, sf_dir)
+    store = _loaded(spark, "rrobin", old)
+    store.split_round_robin(TABLE, N, order_by="movieid")
+    even = F.col("movieid") % 2 == 0
+    store.append_round_robin(TABLE, new.where(even), order_by="movieid", also_base=True)
+    store.compact(TABLE, BASE)
+    store.compact(TABLE, ROUND_ROBIN)
+    store.append_round_robin(TABLE, new.where(~even), order_by="movieid", also_base=True)
+    base = store.base(TABLE).withColumn(FRAGMENT_ID, F.lit(-1))
+    return store.split(TABLE, ROUND_ROBIN).unionByName(base)
+
+
 def rr_append_with_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The split after an append that also wrote the base, whose rows are shown as fragment -1."""
     old, new = _ratings_by_age(spark, sf_dir)
     store = _loaded(spark, "rrobin", old)
-    store.split_round_robin(TABLE, N, order_by="movieid", unique=True)
-    store.append_round_robin(TABLE, new, order_by="movieid", unique=True, also_base=True)
+    store.split_round_robin(TABLE, N, order_by="movieid")
+    store.append_round_robin(TABLE, new, order_by="movieid", also_base=True)
     base = store.base(TABLE).withColumn(FRAGMENT_ID, F.lit(-1))
     return store.split(TABLE, ROUND_ROBIN).unionByName(base)
 
@@ -356,6 +404,26 @@ def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.count_tuple(TABLE, RANGE, 2, userid=100, movieid=2, rating=3.0)
 
 
+def rr_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rating is appended in turn, then counted in each fragment, of which one must have it."""
+    store = _round_robin_split(spark, sf_dir)
+    store.append_round_robin(TABLE, spark.createDataFrame([(100, 1, 3.0)], RATINGS))
+    tuple_ = {"userid": 100, "movieid": 1, "rating": 3.0}
+    found = [store.count_tuple(TABLE, ROUND_ROBIN, i, **tuple_).select(F.lit(i).alias(FRAGMENT_ID), "n_rows") for i in range(N)]
+    return reduce(DataFrame.unionAll, found)
+
+
+def lookup_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragment counts and cursors of a table that is split by range only, and of one that is not known."""
+    store = _range_split(spark, sf_dir)
+    rows = []
+    for table in (TABLE, "unknown"):
+        n, cursor = store.cursor(table)
+        rows.append((table, store.partition_count(table, RANGE), store.partition_count(table, ROUND_ROBIN), n, cursor))
+    schema = "table_name string, range_count int, round_robin_count int, cursor_count int, last_index int"
+    return spark.createDataFrame(rows, schema)
+
+
 def check_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of balances split under ``drop``, the out-of-range rows are missing."""
     store = _balances(spark, sf_dir, "drop")
@@ -427,7 +495,7 @@ def _stream_into_store(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame
     for batch in batches:
         batch.write.mode("append").parquet(landing)
         source = spark.readStream.schema(batch.schema).parquet(landing)
-        writer = store_stream(source, store, TABLE, kind, checkpoint, order_by="event_id", unique=True)
+        writer = store_stream(source, store, TABLE, kind, checkpoint, order_by="event_id")
         writer.trigger(availableNow=True).start().awaitTermination()
     return store.split(TABLE, kind)
 
@@ -454,6 +522,8 @@ QUERIES: dict[str, Query] = {
         load_drop_short,
         load_ignore_errors,
         load_append_twice,
+        load_reject_report,
+        check_load,
         load_metrics,
         export_csv,
         export_tsv,
@@ -473,7 +543,9 @@ QUERIES: dict[str, Query] = {
         rr_partition,
         rr_partition_storage_order,
         rr_partition_ties,
+        rr_partition_reserved_name,
         rr_append,
+        append_compacted,
         rr_append_with_base,
         rr_fragment_scan,
         rr_expected_counts,
@@ -485,6 +557,8 @@ QUERIES: dict[str, Query] = {
         catalog_entries,
         fragment_catalog,
         point_lookup,
+        rr_point_lookup,
+        lookup_defaults,
         check_completeness,
         check_disjointness,
         check_reconstruction,

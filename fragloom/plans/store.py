@@ -13,14 +13,17 @@ seen; its directory is overwritten by the next attempt.
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import ExitStack, contextmanager
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fragloom.errors import AlreadyExistsError
+from fragloom.errors import AlreadyExistsError, ConflictError
 from fragloom.functions.ranges import (
     DEFAULT_COLUMN,
     DEFAULT_HI,
@@ -33,13 +36,16 @@ from fragloom.functions.ranges import (
 )
 from fragloom.operators.checks import tuple_count
 from fragloom.operators.counts import fragment_profile, fragment_sizes
-from fragloom.operators.numbering import number_rows, number_stored_rows
+from fragloom.operators.numbering import free_name, number_rows, number_stored_rows
 from fragloom.operators.splits import assign_round_robin
 from fragloom.plans.catalog import BASE, FRAGMENT_PREFIX, RANGE, ROUND_ROBIN, Catalog, Entry
-from fragloom.plans.layout import write_split
+from fragloom.plans.layout import FILE_BYTES, stored_bytes, write_split
+from fragloom.session import remove_path
 
 _COMMIT = "commit"
-_TIE = "_storage_row"
+_TABLE_NAME = re.compile(r"\w[\w.-]*")
+# Names that base tables cannot have: those of the store's own folders.
+_OWN_FOLDERS = ("_catalog", "_staging")
 
 
 class FragmentStore:
@@ -59,8 +65,10 @@ class FragmentStore:
         """
         if mode not in ("append", "errorifexists"):
             raise ValueError(f"mode must be append or errorifexists, got {mode!r}")
-        if reserved := {_COMMIT, FRAGMENT_ID} & set(rows.columns):
+        if reserved := {_COMMIT, FRAGMENT_ID} & {name.lower() for name in rows.columns}:
             raise ValueError(f"column names {sorted(reserved)} are used by the store itself")
+        if not _TABLE_NAME.fullmatch(table) or table in _OWN_FOLDERS:
+            raise ValueError(f"{table!r} cannot be the name of a table")
         entry = self.catalog.find(table, BASE)
         if entry is not None and mode == "errorifexists":
             raise AlreadyExistsError(f"table {table!r} exists")
@@ -98,29 +106,29 @@ class FragmentStore:
             out_of_range=out_of_range,
         )
         split = assign_range(self._read(base), spec)
-        self.catalog.publish((replaced, self._write_split(entry, split)))
+        entry = self._write_split(entry, split, stored_bytes(self.spark, base.path))
+        self._publish((replaced, entry))
 
     def split_round_robin(
         self,
         table: str,
         n: int,
         order_by: str | Sequence[str] | None = None,
-        unique: bool = False,
         if_exists: str = "error",
     ) -> None:
         """Deal the rows of a table out to n fragments in turn.
 
         Without `order_by` rows are taken in storage order and none is shuffled.
-        With it they are taken in key order; say `unique` if the key identifies a
-        row, otherwise ties are broken by storage position.
+        With it they are taken in key order, ties in any order.
         """
         check_fragment_count(n)
         base = self.catalog.get(table, BASE)
         replaced = self._replaced(table, ROUND_ROBIN, if_exists)
         entry = self._new_entry(table, ROUND_ROBIN, base.schema, partition_count=n)
-        numbered = _number_stored(self._read(base), order_by, unique)
-        split = assign_round_robin(numbered, n)
-        self.catalog.publish((replaced, self._write_split(entry, split, shuffled=order_by is not None)))
+        size = stored_bytes(self.spark, base.path)
+        with self._dealt(self._read(base), size, order_by, n) as split:
+            entry = self._write_split(entry, split, size, _even(base.n_rows, n))
+        self._publish((replaced, entry))
 
     # -- appends -------------------------------------------------------------
 
@@ -136,21 +144,24 @@ class FragmentStore:
         if _is_committed(entry, stream):
             return
         changes = []
-        if also_base:
-            base = self.catalog.get(table, BASE)
-            grown = self._write_base(base, rows)
-            changes.append((base, grown))
-            rows = self._read_commit(grown)
-        split = assign_range(_conform(rows, entry), entry.spec)
-        changes.append((entry, self._write_split(entry, split, stream=stream)))
-        self.catalog.publish(*changes)
+        rows = _conform(rows, entry)
+        with ExitStack() as scratch:
+            if also_base:
+                base = self.catalog.get(table, BASE)
+                grown = self._write_base(base, rows)
+                changes.append((base, grown))
+                path = _commit_path(grown)
+            else:
+                path = scratch.enter_context(self._staged(rows, entry))
+            split = assign_range(self._stored(path, entry), entry.spec)
+            grown = self._write_split(entry, split, stored_bytes(self.spark, path), stream=stream)
+        self.catalog.publish(*changes, (entry, grown))
 
     def append_round_robin(
         self,
         table: str,
         rows: DataFrame,
         order_by: str | Sequence[str] | None = None,
-        unique: bool = False,
         also_base: bool = False,
         stream: tuple[str, int] | None = None,
     ) -> None:
@@ -158,8 +169,8 @@ class FragmentStore:
 
         The cursor is the number of rows dealt so far. With `also_base` the batch is
         appended to the base table first and the cursor is the base's row count
-        before it. Unless a unique `order_by` is given, the batch is stored once
-        and numbered by its place in the stored files.
+        before it. The batch is stored once before it is numbered, and that copy
+        removed when the split is written.
         """
         entry = self.catalog.get(table, ROUND_ROBIN)
         if _is_committed(entry, stream):
@@ -167,19 +178,42 @@ class FragmentStore:
         rows = _conform(rows, entry)
         changes = []
         start = entry.dealt
-        stored = None
-        if also_base:
-            base = self.catalog.get(table, BASE)
-            start = base.n_rows
-            grown = self._write_base(base, rows)
-            changes.append((base, grown))
-            stored = self._read_commit(grown)
-        elif order_by is None or not unique:
-            stored = self._staged(rows, entry)
-        numbered = number_rows(rows, order_by) if stored is None else _number_stored(stored, order_by, unique)
-        split = assign_round_robin(numbered, entry.partition_count, start)
-        changes.append((entry, self._write_split(entry, split, order_by is not None, start, stream)))
-        self.catalog.publish(*changes)
+        with ExitStack() as scratch:
+            if also_base:
+                base = self.catalog.get(table, BASE)
+                start = base.n_rows
+                grown = self._write_base(base, rows)
+                changes.append((base, grown))
+                path = _commit_path(grown)
+            else:
+                path = scratch.enter_context(self._staged(rows, entry))
+            stored, size = self._stored(path, entry), stored_bytes(self.spark, path)
+            dealt = _even(stored.count(), entry.partition_count, start)
+            split = scratch.enter_context(self._dealt(stored, size, order_by, entry.partition_count, start))
+            grown = self._write_split(entry, split, size, dealt, start, stream)
+        self.catalog.publish(*changes, (entry, grown))
+
+    # -- upkeep --------------------------------------------------------------
+
+    def compact(self, table: str, kind: str) -> None:
+        """Rewrite all commits of a table or split as one; rows, cursor and streams stay.
+
+        Readers that began before may fail, as the old files are removed.
+        """
+        entry = self.catalog.get(table, kind)
+        rows, size = self._read(entry), stored_bytes(self.spark, entry.path)
+        fresh = replace(entry, path=self._new_path(table, kind), last_commit=-1, n_rows=0)
+        if kind == BASE:
+            fresh = self._write_base(fresh, rows.coalesce(max(1, size // FILE_BYTES)) if size else rows)
+        else:
+            fresh = self._write_split(fresh, rows, size)
+        if fresh.n_rows != entry.n_rows:
+            raise ConflictError(f"{kind} of table {table!r} has {fresh.n_rows} rows, not {entry.n_rows}")
+        self._publish((entry, replace(fresh, dealt=entry.dealt)))
+
+    def drop(self, table: str, kind: str) -> None:
+        """Forget a table or split and remove its files."""
+        self._publish((self.catalog.get(table, kind), None))
 
     # -- reading -------------------------------------------------------------
 
@@ -246,9 +280,17 @@ class FragmentStore:
 
     # -- internals -----------------------------------------------------------
 
+    def _new_path(self, table: str, kind: str) -> str:
+        return f"{self.root}/{table}/{kind}-{uuid.uuid4().hex}"
+
     def _new_entry(self, table: str, kind: str, schema: T.StructType, **settings: object) -> Entry:
-        path = f"{self.root}/{table}/{kind}-{uuid.uuid4().hex}"
-        return Entry(table, kind, path, schema.json(), **settings)
+        return Entry(table, kind, self._new_path(table, kind), schema.json(), **settings)
+
+    def _publish(self, change: tuple[Entry | None, Entry | None]) -> None:
+        """Publish a change that puts an entry out of use, then remove its files."""
+        self.catalog.publish(change)
+        if change[0] is not None:
+            remove_path(self.spark, change[0].path)
 
     def _replaced(self, table: str, kind: str, if_exists: str) -> Entry | None:
         """The split a new one takes the place of, if that is allowed."""
@@ -259,12 +301,35 @@ class FragmentStore:
             raise AlreadyExistsError(f"table {table!r} has a {kind} split")
         return entry
 
-    def _staged(self, rows: DataFrame, entry: Entry) -> DataFrame:
-        """The rows from files of their own, in the cluster's scratch folder if it names one."""
+    @contextmanager
+    def _scratch(self, label: str) -> Iterator[str]:
+        """A fresh path, in the cluster's scratch folder if it names one; what is there goes afterwards."""
         folder = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.root}/_staging"
-        path = f"{folder.rstrip('/')}/{entry.table_name}-{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return self.spark.read.schema(entry.schema).parquet(path)
+        path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        try:
+            yield path
+        finally:
+            remove_path(self.spark, path)
+
+    @contextmanager
+    def _staged(self, rows: DataFrame, entry: Entry) -> Iterator[str]:
+        """Where a copy of the rows is stored for a while."""
+        with self._scratch(entry.table_name) as path:
+            rows.write.parquet(path)
+            yield path
+
+    @contextmanager
+    def _dealt(
+        self, rows: DataFrame, size: int, order_by: str | Sequence[str] | None, n: int, start: int = 0
+    ) -> Iterator[DataFrame]:
+        """The rows with their fragment, by the order or, without one, as they are stored."""
+        number = free_name(rows)
+        with self._scratch("numbered") as path:
+            if order_by is None:
+                numbered = number_stored_rows(rows, number)
+            else:
+                numbered = number_rows(rows, order_by, number, path, size // FILE_BYTES)
+            yield assign_round_robin(numbered, n, start, number)
 
     def _read(self, entry: Entry) -> DataFrame:
         schema = entry.schema.add(_COMMIT, T.IntegerType())
@@ -273,12 +338,11 @@ class FragmentStore:
         stored = self.spark.read.schema(schema).parquet(entry.path)
         return stored.where(F.col(_COMMIT) <= entry.last_commit).drop(_COMMIT)
 
-    def _read_commit(self, entry: Entry) -> DataFrame:
-        """The rows of a base entry's last commit."""
-        return self.spark.read.schema(entry.schema).parquet(f"{entry.path}/{_COMMIT}={entry.last_commit}")
+    def _stored(self, path: str, entry: Entry) -> DataFrame:
+        return self.spark.read.schema(entry.schema).parquet(path)
 
     def _write_base(self, entry: Entry, rows: DataFrame) -> Entry:
-        path = f"{entry.path}/{_COMMIT}={entry.last_commit + 1}"
+        path = _commit_path(entry, 1)
         _conform(rows, entry).write.mode("overwrite").parquet(path)
         return entry.after(self._stored_rows(path, entry))
 
@@ -286,12 +350,13 @@ class FragmentStore:
         self,
         entry: Entry,
         assigned: DataFrame,
-        shuffled: bool = False,
+        in_bytes: int,
+        rows: Sequence[int] | None = None,
         start: int | None = None,
         stream: tuple[str, int] | None = None,
     ) -> Entry:
-        path = f"{entry.path}/{_COMMIT}={entry.last_commit + 1}"
-        write_split(assigned, path, entry.partition_count, shuffled)
+        path = _commit_path(entry, 1)
+        write_split(assigned, path, entry.partition_count, in_bytes, rows)
         return entry.after(self._stored_rows(path, entry), start, stream)
 
     def _stored_rows(self, path: str, entry: Entry) -> int:
@@ -300,21 +365,25 @@ class FragmentStore:
         Counting what was written stays exact when tasks were re-run; metrics
         gathered on the way would not.
         """
-        return self.spark.read.schema(entry.schema).parquet(path).count()
+        return self._stored(path, entry).count()
 
 
-def _conform(rows: DataFrame, entry: Entry) -> DataFrame:
-    """The rows in the column order and types of the stored table."""
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in entry.schema])
+def _commit_path(entry: Entry, ahead: int = 0) -> str:
+    return f"{entry.path}/{_COMMIT}={entry.last_commit + ahead}"
+
+
+def _even(rows: int, n: int, start: int = 0) -> list[int]:
+    """Rows per fragment when so many are dealt out to n in turn, from position `start` on."""
+    return [rows // n + ((i - start) % n < rows % n) for i in range(n)]
+
 
+def _column(rows: DataFrame, name: str) -> Column:
+    return rows["`" + name.replace("`", "``") + "`"]
 
-def _number_stored(stored: DataFrame, order_by: str | Sequence[str] | None, unique: bool) -> DataFrame:
-    if order_by is None:
-        return number_stored_rows(stored)
-    if unique:
-        return number_rows(stored, order_by)
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    return number_rows(number_stored_rows(stored, into=_TIE), [*keys, _TIE]).drop(_TIE)
+
+def _conform(rows: DataFrame, entry: Entry) -> DataFrame:
+    """The rows in the column order and types of the stored table."""
+    return rows.select(*[_column(rows, f.name).cast(f.dataType).alias(f.name) for f in entry.schema])
 
 
 def _is_committed(entry: Entry, stream: tuple[str, int] | None) -> bool:

@@ -7,8 +7,19 @@ from pyspark.sql import functions as F
 
 
 def joined_fields(df: DataFrame, separator: str) -> Column:
-    """All columns of a row as one delimited line, NULL as an empty field."""
-    return F.concat_ws(separator, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    """All columns of a row as one delimited line, NULL as an empty field.
+
+    A value that would break the line, because it holds the separator or a line end, fails
+    the job. NULL and empty text read back alike.
+    """
+
+    def field(name: str) -> Column:
+        text = F.coalesce(df["`" + name.replace("`", "``") + "`"].cast("string"), F.lit(""))
+        breaks = F.contains(text, F.lit(separator)) | F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
+        failure = F.raise_error(F.concat(F.lit("value with a separator or line end: "), text)).cast("string")
+        return F.when(breaks, failure).otherwise(text)
+
+    return F.concat_ws(separator, *map(field, df.columns))
 
 
 def write_lines(df: DataFrame, path: str, separator: str) -> None:

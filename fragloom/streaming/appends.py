@@ -37,12 +37,12 @@ def store_stream(
     kind: str,
     checkpoint: str,
     order_by: str | Sequence[str] | None = None,
-    unique: bool = False,
+    name: str | None = None,
 ) -> DataStreamWriter:
     """Append every micro-batch of a stream to a split in the store.
 
-    A batch is committed under the streaming query's id, which lives in the
-    checkpoint, and its batch id. A replayed batch that is in the catalog is
+    A batch is committed under `name` or else the streaming query's id, which
+    lives in the checkpoint, and its batch id. A name must stay with one checkpoint. A replayed batch that is in the catalog is
     skipped; one that failed before it got there starts from the same cursor
     and overwrites its own folder.
     """
@@ -50,18 +50,13 @@ def store_stream(
         raise ValueError(f"kind must be {RANGE} or {ROUND_ROBIN}, got {kind!r}")
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+        query = name or batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+        if not query:
+            raise ValueError("this session does not tell the query's id; give the stream a name")
         target = FragmentStore(batch.sparkSession, store.root)
         if kind == RANGE:
-            target.append_range(table, batch, stream=(query_id, batch_id))
-        elif unique:
-            # Choosing cut points, counting and writing read the batch in turn.
-            batch.persist()
-            try:
-                target.append_round_robin(table, batch, order_by, unique, stream=(query_id, batch_id))
-            finally:
-                batch.unpersist()
+            target.append_range(table, batch, stream=(query, batch_id))
         else:
-            target.append_round_robin(table, batch, order_by, stream=(query_id, batch_id))
+            target.append_round_robin(table, batch, order_by, stream=(query, batch_id))
 
     return rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).outputMode("append")

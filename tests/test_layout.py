@@ -6,41 +6,54 @@ import pytest
 from pyspark.sql import functions as F
 
 from fragloom.functions.ranges import FRAGMENT_ID
-from fragloom.plans.layout import needs_rebalance, write_split
+from fragloom.plans import layout
+from fragloom.plans.layout import plan_tasks, stored_bytes, write_split
 
+ROWS = 40_000
 
-@pytest.fixture
-def session(spark):
-    return spark.newSession()
+
+@pytest.fixture(params=["true", "false"])
+def session(spark, request):
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", request.param)
+    return session
 
 
 def files(path, fragment):
     return list(Path(path).glob(f"{FRAGMENT_ID}={fragment}/*.parquet"))
 
 
-def test_few_fragments_are_written_without_a_shuffle(session):
-    assert not needs_rebalance(session, 5, shuffled=False)
-    assert needs_rebalance(session, 100, shuffled=False)
+def written(session, tmp_path, n, fragment):
+    source, path = str(tmp_path / "source"), str(tmp_path / "split")
+    session.range(0, ROWS, 1, 16).select("id", F.xxhash64("id").alias("v")).write.parquet(source)
+    assigned = session.read.parquet(source).withColumn(FRAGMENT_ID, fragment.cast("int"))
+    write_split(assigned, path, n, stored_bytes(session, source))
+    assert session.read.parquet(path).count() == ROWS
+    return [len(files(path, i)) for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [5, 16, 500])
+def test_small_fragments_get_one_file(session, tmp_path, n):
+    assert written(session, tmp_path, n, F.col("id") % n) == [1] * n
 
 
-def test_no_rebalance_without_adaptive_execution(session):
-    session.conf.set("spark.sql.adaptive.enabled", "false")
-    assert not needs_rebalance(session, 100, shuffled=False)
+@pytest.mark.parametrize("n", [5, 16])
+def test_files_follow_the_size(session, tmp_path, monkeypatch, n):
+    monkeypatch.setattr(layout, "FILE_BYTES", 60_000)
+    monkeypatch.setattr(layout, "SMALL_FILE_BYTES", 1 << 40)
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % n)
+    counts = written(session, tmp_path, n, hot)
+    assert counts[0] >= 3 and counts[0] >= max(counts[1:]) and min(counts) >= 1
 
 
-@pytest.mark.parametrize("size, rebalance", [("1g", False), ("64MB", True), ("134217727", True), ("134217728b", False)])
-def test_split_size_decides(session, size, rebalance):
-    session.conf.set("spark.sql.files.maxPartitionBytes", size)
-    assert needs_rebalance(session, 16, shuffled=False) == rebalance
+def test_large_files_are_written_where_rows_are(session, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "SMALL_FILE_BYTES", 1)
+    assert min(written(session, tmp_path, 3, F.col("id") % 3)) > 1
 
 
-def test_rebalance_splits_a_hot_fragment_and_writes_fewer_files(session, tmp_path):
-    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
-    fragment = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 60).cast("int")
-    df = session.range(0, 400_000, 1, 16).select(F.xxhash64("id").alias("v"), fragment.alias(FRAGMENT_ID))
-    path = str(tmp_path / "split")
-    write_split(df, path, 60)
-    assert session.read.parquet(path).count() == 400_000
-    assert len(files(path, 0)) > 2
-    # Written where they are, the rows of 16 tasks would make 16 files a fragment.
-    assert sum(len(files(path, i)) for i in range(60)) < 16 * 60 / 2
+def test_plan():
+    big = layout.FILE_BYTES
+    assert plan_tasks([1, 1, 1, 1], 2) == [(0, 1), (0, 1), (1, 1), (1, 1)]
+    assert plan_tasks([3 * big, 1, 1, big // 2], 4) == [(0, 3), (3, 1), (3, 1), (3, 1)]
+    assert plan_tasks([0, 0, 0], 8) == [(0, 1)] * 3
+    assert plan_tasks([2 * big + 1, big], 1) == [(0, 3), (3, 1)]

@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fragloom.operators import numbering
@@ -24,13 +25,13 @@ def nulls_first(row):
 
 def test_single_numeric_key(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k"))
-    assert numbers(df, "k", rows_per_bucket=100) == expected([tuple(r) for r in df.collect()])
+    assert numbers(df, "k") == expected([tuple(r) for r in df.collect()])
 
 
 def test_null_first_and_nan_last(spark):
     rows = [(v,) for v in (2.5, None, -1.0, math.inf, 0.0, -math.inf, 7.0)]
     df = spark.createDataFrame([*rows, (math.nan,)], "k double")
-    got = {repr(k[0]): v for k, v in numbers(df, "k", rows_per_bucket=1).items()}
+    got = {repr(k[0]): v for k, v in numbers(df, "k").items()}
     ordered = ["None", "-inf", "-1.0", "0.0", "2.5", "7.0", "inf", "nan"]
     assert [got[k] for k in ordered] == list(range(8))
 
@@ -47,63 +48,63 @@ def test_hot_leading_value(spark, lead):
     }.get(lead, day.cast(lead))
     df = spark.range(3000).select(value.alias("a"), F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("b"))
     rows = [tuple(r) for r in df.collect()]
-    assert numbers(df, ["a", "b"], rows_per_bucket=60) == expected(rows, nulls_first)
+    assert numbers(df, ["a", "b"]) == expected(rows, nulls_first)
 
 
-def test_hot_value_is_spread_over_buckets(spark):
-    df = spark.range(20000).select(F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("a"), F.col("id").alias("b"))
-    keys = [F.col("a").alias("k0"), F.col("b").alias("k1")]
-    cuts = numbering._cut_points(df.select(*keys), 20000, 40)
-    sizes = numbering._with_bucket(df, keys, cuts).groupBy("_bucket").count().collect()
-    assert max(r["count"] for r in sizes) < 2 * 20000 / 40
+def parts(spark, path):
+    return [r["count"] for r in spark.read.parquet(path).groupBy(F.shiftright("at", 33)).count().collect()]
 
 
-@pytest.mark.parametrize("hot", [None, math.nan, math.inf, -math.inf])
-def test_hot_special_value_is_spread(spark, hot):
-    lead = F.when(F.col("id") % 3 > 0, F.lit(hot).cast("double")).otherwise(F.col("id").cast("double"))
-    df = spark.range(6000).select(lead.alias("a"), F.col("id").alias("b"))
-    keys = [F.col("a").alias("k0"), F.col("b").alias("k1")]
-    cuts = numbering._cut_points(df.select(*keys), 6000, 30)
-    sizes = numbering._with_bucket(df, keys, cuts).groupBy("_bucket").count().collect()
-    assert max(r["count"] for r in sizes) < 3 * 6000 / 30
-    numbered = number_rows(df, ["a", "b"], rows_per_bucket=200).collect()
-
-    def nan_last(r):
-        a = r["a"]
-        nan = a is not None and math.isnan(a)
-        return (a is not None, nan, 0.0 if nan or a is None else a, r["b"])
-
-    assert [r["row_index"] for r in sorted(numbered, key=nan_last)] == list(range(6000))
+@pytest.mark.parametrize("rows", [1000, 15_000])
+@pytest.mark.parametrize("key", ["id", "7", "cast(NULL AS double)", "double('NaN')"])
+def test_any_key_is_numbered_by_several_tasks(spark, tmp_path, rows, key):
+    """Also one value on every row, and small tables."""
+    path = str(tmp_path / "scratch")
+    df = spark.range(rows).selectExpr(f"{key} AS k", "id AS v")
+    got = number_rows(df, "k", scratch=path, parts=6)
+    assert sorted(r["row_index"] for r in got.collect()) == list(range(rows))
+    sizes = parts(spark, path)
+    assert len(sizes) == 6 and max(sizes) < 2 * rows / 6
 
 
 def test_equal_rows_keep_all_numbers(spark):
     df = spark.createDataFrame([(1, "x")] * 50 + [(0, "y")] * 50, "a int, b string")
-    got = sorted(r["row_index"] for r in number_rows(df, ["a", "b"], rows_per_bucket=10).collect())
+    got = sorted(r["row_index"] for r in number_rows(df, ["a", "b"]).collect())
     assert got == list(range(100))
 
 
-def test_every_bucket_has_its_own_task(spark):
-    numbered = number_rows(spark.range(1000), "id", rows_per_bucket=100)
-    sizes = numbered.groupBy(F.spark_partition_id().alias("task")).count().collect()
-    assert len(sizes) == 10 and all(50 <= r["count"] <= 150 for r in sizes)
+def test_a_frame_that_differs_at_each_reading(spark):
+    df = spark.range(5000).select((F.rand() * 1000).cast("int").alias("k")).where(F.rand() < 0.5)
+    numbered = number_rows(df, "k")
+    rows = [(r["row_index"], r["k"]) for r in numbered.collect()]
+    assert sorted(i for i, _ in rows) == list(range(len(rows)))
+    assert [k for _, k in sorted(rows)] == sorted(k for _, k in rows)
+    assert sorted(rows) == sorted((r["row_index"], r["k"]) for r in numbered.collect())
 
 
-def test_few_rows_take_one_task(spark):
-    assert number_rows(spark.range(1000), "id").rdd.getNumPartitions() == 1
+@pytest.mark.parametrize("name", ["row_index", "ROW_INDEX"])
+def test_taken_names_are_refused(spark, tmp_path, name):
+    df = spark.range(3).withColumnRenamed("id", name)
+    with pytest.raises(ValueError, match="already"):
+        number_rows(df, name)
+    assert {r["n"] for r in number_rows(df, name, into="n").collect()} == {0, 1, 2}
+    df.write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="already"):
+        number_stored_rows(spark.read.parquet(str(tmp_path / "t")))
 
 
 def test_empty_frame(spark):
     assert number_rows(spark.createDataFrame([], "k int"), "k").collect() == []
 
 
-def test_unsupported_key_type(spark):
-    with pytest.raises(TypeError):
-        number_rows(spark.createDataFrame([([1],)], "k array<int>"), "k")
+def test_unordered_key_type(spark):
+    with pytest.raises(AnalysisException):
+        number_rows(spark.createDataFrame([({1: 2},)], "k map<int,int>"), "k")
 
 
-@pytest.mark.parametrize("broadcast_files", [0, 1000])
-def test_storage_order(spark, tmp_path, monkeypatch, broadcast_files):
-    monkeypatch.setattr(numbering, "MAX_BROADCAST_FILES", broadcast_files)
+@pytest.mark.parametrize("broadcast_bytes", [0, 16_000])
+def test_storage_order(spark, tmp_path, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(numbering, "MAX_BROADCAST_BYTES", broadcast_bytes)
     path = str(tmp_path / "t")
     spark.range(1000).repartition(13).write.parquet(path)
     numbered = number_stored_rows(spark.read.parquet(path))
@@ -121,8 +122,6 @@ def test_no_single_task_and_no_shuffle(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).write.parquet(path)
     stored = spark.read.parquet(path)
-    by_key = plan(number_rows(stored, "id", rows_per_bucket=100))
-    assert "SinglePartition" not in by_key and by_key.count("Exchange") == 1
     storage_order = plan(number_stored_rows(stored))
     # Only the per-file counts are shuffled, below the broadcast of the offsets.
     assert "BroadcastHashJoin" in storage_order and "SortMergeJoin" not in storage_order

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from fragloom.functions.ranges import RangeSpec
-from fragloom.sources.delimited import read_delimited, read_lines, read_with_fillers
+from fragloom.sources.delimited import load_check, read_delimited, read_lines, read_with_fillers, reject_report
 from fragloom.sources.exports import write_csv, write_lines, write_tsv
 from fragloom.sources.metrics import observe_load
 
@@ -41,17 +41,46 @@ def test_rating_is_read_at_full_precision(spark, text):
     assert rows(read_lines(spark, text("1::1::3.7::0"))) == [(1, 1, 3.7)]
 
 
+BROKEN = {
+    "short": "1::122",
+    "three fields": SHORT,
+    "long": LONG,
+    "blank": "",
+    "white": "  ",
+    "untypable id": BAD_ID,
+    "untypable rating": BAD_RATING,
+    "empty rating": "1::2::::5",
+    "empty id": "::2::3::4",
+    "quoted": '"1"::2::3::4',
+    "too large": "99999999999::1::1::0",
+}
+
+
 @pytest.mark.parametrize("read", [read_delimited, read_lines, read_with_fillers])
-@pytest.mark.parametrize("line", ["1::122", BAD_ID, BAD_RATING])
-def test_strict_readers_fail(spark, text, read, line):
-    with pytest.raises(Exception, match="(?i)bad record|malformed"):
-        read(spark, text(*GOOD, line)).collect()
+@pytest.mark.parametrize("case", BROKEN)
+def test_strict_readers_fail(spark, text, read, case):
+    path = text(GOOD[0], BROKEN[case], GOOD[1])
+    for column in ("userid", "rating"):
+        if "id" in case and column == "rating" or "rating" in case and column == "userid" or case in ("quoted", "too large") and column == "rating":
+            continue
+        with pytest.raises(PySparkException, match="bad record"):
+            read(spark, path).select(column).collect()
+
+
+def test_reject_report_names_every_case(spark, text):
+    path = text(*GOOD, *BROKEN.values())
+    assert rows(reject_report(spark, path)) == [
+        ("accepted", 2), ("blank", 2), ("empty rating", 1), ("empty userid", 1), ("long", 1), ("short", 2),
+        ("untypable rating", 1), ("untypable userid", 3),
+    ]
 
 
-@pytest.mark.parametrize("line", [SHORT, LONG])
-def test_csv_reader_counts_fields_whatever_columns_are_used(spark, text, line):
-    with pytest.raises(Exception, match="(?i)malformed"):
-        read_delimited(spark, text(*GOOD, line)).select("userid").collect()
+@pytest.mark.parametrize("policy, left_out", [("drop_short", 1), ("skip", 2)])
+def test_load_check(spark, text, policy, left_out):
+    path = text(*GOOD, SHORT, LONG)
+    stored = read_lines(spark, path, bad_records=policy)
+    assert tuple(load_check(spark, path, stored, policy).first()) == (4, left_out, 4 - left_out, True)
+    assert not load_check(spark, path, stored.limit(1), policy).first()["agrees"]
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
@@ -62,10 +91,6 @@ def test_strict_lines_fail_in_any_session(spark, text, ansi):
         read_lines(session, text(BAD_ID)).collect()
 
 
-def test_strict_lines_ignore_further_fields(spark, text):
-    assert rows(read_lines(spark, text(LONG, SHORT))) == [(1, 122, 5.0), (2, 122, 5.0)]
-
-
 def test_drop_short(spark, text):
     path = text(*GOOD, SHORT, LONG, "", "  \t3::7::1.5::0 \t")
     assert rows(read_lines(spark, path, bad_records="drop_short")) == [
@@ -112,6 +137,12 @@ def test_exports(spark, frame, tmp_path):
     assert lines(spark, str(tmp_path / "dat")) == ["1::122::4.5", "2::7::"]
 
 
+@pytest.mark.parametrize("value", ["a::b", "a\nb", "a\rb"])
+def test_lines_refuse_values_that_break_them(spark, tmp_path, value):
+    with pytest.raises(Exception, match="separator or line end"):
+        write_lines(spark.createDataFrame([(value,)], "a string"), str(tmp_path / "dat"), "::")
+
+
 def test_metrics_come_with_the_load(spark, store):
     source = spark.createDataFrame([(1.0,), (7.0,), (None,), (-2.0,)], "rating double")
     observed, observation = observe_load(source, RangeSpec(5))

@@ -11,7 +11,9 @@ from fragloom.operators import checks
 from fragloom.operators.counts import expected_range_sizes, expected_round_robin_sizes
 from fragloom.functions.ranges import RangeSpec
 from fragloom.plans import store as store_module
-from fragloom.plans.catalog import RANGE, ROUND_ROBIN
+from fragloom.operators.splits import union_of_fragments
+from fragloom.plans import catalog as catalog_module
+from fragloom.plans.catalog import BASE, RANGE, ROUND_ROBIN
 
 # A 20-record sample, one user's ratings in file order, and the
 # fragment sizes it must give for n = 5.
@@ -98,9 +100,9 @@ def test_range_split_of_sample(loaded, sample):
     assert loaded.partition_count("ratings", RANGE) == 5
 
 
-@pytest.mark.parametrize("order_by, unique", [(None, False), ("rating", False), (["rating", "movieid"], True)])
-def test_round_robin_split_of_sample(loaded, sample, order_by, unique):
-    loaded.split_round_robin("ratings", 5, order_by, unique)
+@pytest.mark.parametrize("order_by", [None, "rating", ["rating", "movieid"]])
+def test_round_robin_split_of_sample(loaded, sample, order_by):
+    loaded.split_round_robin("ratings", 5, order_by)
     assert sizes(loaded, ROUND_ROBIN) == ROUND_ROBIN_SIZES
     assert bag(loaded.split("ratings", ROUND_ROBIN)) == bag(sample)
     assert loaded.cursor("ratings") == (5, 4)
@@ -205,16 +207,14 @@ def test_range_append_with_base(spark, loaded):
     assert loaded.base("ratings").count() == loaded.split("ratings", RANGE).count() == 21
 
 
-@pytest.mark.parametrize(
-    "order_by, unique, also_base", [(None, False, False), ("movieid", False, True), ("movieid", True, False)]
-)
-def test_round_robin_append_continues(spark, loaded, order_by, unique, also_base):
+@pytest.mark.parametrize("order_by, also_base", [(None, False), ("movieid", True), ("movieid", False)])
+def test_round_robin_append_continues(spark, loaded, order_by, also_base):
     loaded.split_round_robin("ratings", 5)
     for start in (0, 3, 1):
         batch = spark.range(3).select(
             F.lit(100).alias("userid"), (F.col("id") + 1000 + start).cast("int").alias("movieid"), F.lit(3.0).alias("rating")
         )
-        loaded.append_round_robin("ratings", batch, order_by, unique, also_base)
+        loaded.append_round_robin("ratings", batch, order_by, also_base)
     # Nine rows after a full round: fragments 0 1 2, 3 4 0, 1 2 3.
     assert sizes(loaded, ROUND_ROBIN) == [6, 6, 6, 6, 5]
     assert loaded.cursor("ratings") == (5, 3)
@@ -291,9 +291,114 @@ def test_publishing_over_an_empty_snapshot_folder(loaded):
     assert sizes(loaded, RANGE) == RANGE_SIZES
 
 
+# -- upkeep
+
+
+def folders(path):
+    return [p for p in Path(path).iterdir() if p.is_dir()] if Path(path).exists() else []
+
+
+def test_many_appends_list_few_folders(spark, loaded, monkeypatch):
+    loaded.split_round_robin("ratings", 5)
+    entry = loaded.catalog.get("ratings", ROUND_ROBIN)
+    for _ in range(30):
+        grown = entry.after(0)
+        loaded.catalog.publish((entry, grown))
+        entry = grown
+    assert len(folders(f"{loaded.root}/_catalog")) == catalog_module.KEPT_SNAPSHOTS
+    assert FragmentStore(spark, loaded.root).catalog.get("ratings", ROUND_ROBIN).last_commit == entry.last_commit
+
+
+@pytest.mark.parametrize("order_by", [None, "movieid"])
+def test_nothing_is_left_staged(spark, loaded, order_by):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(folders(shared))
+    loaded.split_round_robin("ratings", 5, order_by)
+    loaded.append_round_robin("ratings", one(spark, 100, 1, 3.0), order_by)
+    with pytest.raises(Exception, match="broken"):
+        bad = one(spark, 100, 1, 3.0).withColumn("rating", F.raise_error(F.lit("broken")).cast("double"))
+        loaded.append_round_robin("ratings", bad, order_by)
+    assert set(folders(shared)) == before and not folders(f"{loaded.root}/_staging")
+
+
+def test_compaction_keeps_rows_cursor_and_streams(spark, loaded):
+    loaded.split_round_robin("ratings", 5)
+    loaded.split_range("ratings", 5)
+    for i in range(3):
+        loaded.append_round_robin("ratings", one(spark, 100, i, 3.0), also_base=True, stream=("q", i))
+        loaded.append_range("ratings", one(spark, 100, i, 3.0))
+    before = {kind: bag(loaded.split("ratings", kind)) for kind in (RANGE, ROUND_ROBIN)}
+    cursor = loaded.cursor("ratings")
+    for kind in (BASE, RANGE, ROUND_ROBIN):
+        old = loaded.catalog.get("ratings", kind).path
+        loaded.compact("ratings", kind)
+        assert not Path(old).exists()
+        assert loaded.catalog.get("ratings", kind).last_commit == 0
+    assert {kind: bag(loaded.split("ratings", kind)) for kind in (RANGE, ROUND_ROBIN)} == before
+    assert loaded.base("ratings").count() == 23 and loaded.cursor("ratings") == cursor
+    loaded.append_round_robin("ratings", one(spark, 100, 2, 3.0), stream=("q", 2))
+    assert loaded.split("ratings", ROUND_ROBIN).count() == 23
+
+
+def test_drop(loaded):
+    loaded.split_range("ratings", 5)
+    path = loaded.catalog.get("ratings", RANGE).path
+    loaded.drop("ratings", RANGE)
+    assert loaded.partition_count("ratings", RANGE) == 0 and not Path(path).exists()
+    assert loaded.base("ratings").count() == 20
+    with pytest.raises(NotFragmentedError):
+        loaded.drop("ratings", RANGE)
+    loaded.drop("ratings", BASE)
+    with pytest.raises(NotFragmentedError):
+        loaded.base("ratings")
+
+
+@pytest.mark.parametrize("name", ["", "_catalog", "_staging", "a/b", "..", ".hidden", "a b"])
+def test_table_names(store, sample, name):
+    with pytest.raises(ValueError, match="name of a table"):
+        store.load(name, sample)
+
+
+# -- names
+
+
+INTERNAL = (
+    "row_index _row_index _lead _bucket _file_path _file_row _offset _storage_row _b _s b s _in_base _in_split line fields "
+    "row tie at k0 file place offset path group rows record"
+).split()
+
+
+@pytest.mark.parametrize("order_by", [None, "key"])
+def test_no_user_column_is_lost(spark, store, order_by):
+    rows = spark.range(40).select(
+        F.col("id").alias("key"), (F.col("id") % 5).cast("double").alias("rating"), *[(F.col("id") * 100 + i).alias(n) for i, n in enumerate(INTERNAL)]
+    )
+    want = sorted(tuple(r) for r in rows.union(rows).collect())
+    store.load("t", rows)
+    store.split_round_robin("t", 3, order_by)
+    store.split_range("t", 5)
+    store.append_round_robin("t", rows, order_by)
+    store.append_range("t", rows)
+    for kind in (RANGE, ROUND_ROBIN):
+        split = store.split("t", kind)
+        assert sorted(tuple(r)[:-1] for r in split.collect()) == want
+        assert checks.disjointness(store.base("t"), split).first()["extra_rows"] == 40
+        store.compact("t", kind)
+        assert sorted(tuple(r)[:-1] for r in store.split("t", kind).collect()) == want
+
+
 # -- reading
 
 
+def test_union_of_fragments_is_one_scan(loaded):
+    loaded.split_range("ratings", 500)
+    both = union_of_fragments(loaded.split("ratings", RANGE), range(0, 500))
+    assert both.count() == 20
+    assert both._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    with pytest.raises(ValueError, match="twice"):
+        union_of_fragments(both, [1, 2, 1])
+
+
 def test_rows_between_equals_filter_and_prunes(loaded, sample):
     loaded.split_range("ratings", 5)
     for low, high in [(0, 5), (1.0, 1.0), (1.2, 3.5), (-9, 0), (5, 9), (6, 7), (3, 2), (2.5, 2.6)]:

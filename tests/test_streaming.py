@@ -51,7 +51,7 @@ def test_range_file_stream(spark, landing, tmp_path):
 def test_round_robin_stream_continues_after_restart(empty, landing, tmp_path):
     for first, last in [(0, 10), (10, 17), (17, 30)]:
         source = landing(first, last)
-        finish(store_stream(source, empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id", unique=True))
+        finish(store_stream(source, empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id"))
     assert fragments(empty.split("ratings", ROUND_ROBIN)) == {i: i % 4 for i in range(30)}
     assert empty.cursor("ratings") == (4, 1)
 
@@ -63,9 +63,9 @@ def test_round_robin_stream_without_a_key(empty, landing, tmp_path):
 
 
 def test_stream_and_batches_share_the_cursor(spark, empty, landing, tmp_path):
-    finish(store_stream(landing(0, 10), empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id", unique=True))
+    finish(store_stream(landing(0, 10), empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id"))
     empty.append_round_robin("ratings", spark.createDataFrame([(100, 1.0)], SCHEMA))
-    finish(store_stream(landing(11, 15), empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id", unique=True))
+    finish(store_stream(landing(11, 15), empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id"))
     got = fragments(empty.split("ratings", ROUND_ROBIN))
     assert got == {**{i: i % 4 for i in range(10)}, 100: 2, **{i: i % 4 for i in range(11, 15)}}
 
@@ -73,7 +73,7 @@ def test_stream_and_batches_share_the_cursor(spark, empty, landing, tmp_path):
 @pytest.mark.parametrize("published", [False, True])
 def test_batch_that_failed_is_replayed_once(spark, empty, landing, tmp_path, monkeypatch, published):
     """The query dies before, or just after, its batch was published."""
-    finish(store_stream(landing(0, 10), empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id", unique=True))
+    finish(store_stream(landing(0, 10), empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id"))
     source = landing(10, 17)
     publish = store_module.Catalog.publish
 
@@ -84,9 +84,9 @@ def test_batch_that_failed_is_replayed_once(spark, empty, landing, tmp_path, mon
 
     monkeypatch.setattr(store_module.Catalog, "publish", dying)
     with pytest.raises(Exception, match="killed"):
-        finish(store_stream(source, empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id", unique=True))
+        finish(store_stream(source, empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id"))
     monkeypatch.undo()
-    finish(store_stream(source, empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id", unique=True))
+    finish(store_stream(source, empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id"))
     assert fragments(empty.split("ratings", ROUND_ROBIN)) == {i: i % 4 for i in range(17)}
 
 
@@ -106,6 +106,11 @@ def test_range_stream_into_store(empty, landing, tmp_path):
     assert empty.rows_between("ratings", 4.5, 5.0).count() == 18
 
 
+def test_a_named_stream(spark, empty, landing, tmp_path):
+    finish(store_stream(landing(0, 10), empty, "ratings", ROUND_ROBIN, str(tmp_path / "c"), "id", name="mine"))
+    assert empty.catalog.get("ratings", ROUND_ROBIN).streams == {"mine": 0}
+
+
 def test_unknown_kind(empty, landing, tmp_path):
     with pytest.raises(ValueError):
         store_stream(landing(0, 1), empty, "ratings", "hash", str(tmp_path / "c"))
