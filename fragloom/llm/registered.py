@@ -7,12 +7,15 @@ from fragloom.llm.chat import op6_prefix_target_chat
 from fragloom.llm.de_bruijn import op4_de_bruijn_dedup
 from fragloom.llm.decontaminate import op2_wu_manber_decontamination
 from fragloom.llm.fingerprints import op1_chunk_fingerprints
+from fragloom.llm.oracles import ORACLES
 from fragloom.llm.quality import op3_fourier_quality
 from fragloom.llm.sharding import op10_histogram_sort_shards
 from fragloom.llm.simhash import op5_multi_index_simhash
 from fragloom.llm.suffix_array import op8_suffix_array_dedup
 from fragloom.llm.warc import op9_salvaged_warc
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     "op1_chunk_fingerprints": op1_chunk_fingerprints,
     "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
@@ -25,5 +28,3 @@ QUERIES = {
     "op9_salvaged_warc": op9_salvaged_warc,
     "op10_histogram_sort_shards": op10_histogram_sort_shards,
 }
-
-ORACLES: dict[str, str] = {}

@@ -1,0 +1,36 @@
+"""Queries that SQL can express against their SQL, over whole tables, in another engine."""
+
+import os
+from pathlib import Path
+
+import __spark_entry__ as contract
+import duckdb
+import pytest
+
+from fragloom.llm.registered import ORACLES, QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for file in sorted(Path(SF_DIR).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return con
+
+
+def test_all_ten_and_the_pipeline_are_registered():
+    names = contract.queries()
+    assert "pipeline" in names and ORACLES.keys() <= contract.oracle_sql().keys()
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and QUERIES.keys() <= names.keys()
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_matches_sql(spark, duck, name):
+    got = QUERIES[name](spark, SF_DIR)
+    want = duck.execute(ORACLES[name])
+    names = [column[0] for column in want.description]
+    assert sorted(got.columns) == sorted(names)
+    expected = sorted(map(tuple, want.fetchall()), key=repr)
+    assert expected and sorted((tuple(row[c] for c in names) for row in got.collect()), key=repr) == expected
