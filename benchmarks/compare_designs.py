@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from fragloom.functions.ranges import FRAGMENT_ID, RangeSpec, assign_range  # noqa: E402
 from fragloom.operators.numbering import ROW_NUMBER, number_rows, number_stored_rows  # noqa: E402
 from fragloom.operators.splits import assign_round_robin  # noqa: E402
-from fragloom.plans.layout import write_split  # noqa: E402
+from fragloom.plans.layout import stored_bytes, write_split  # noqa: E402
 from fragloom.session import local_session, scratch_path  # noqa: E402
 from fragloom.sources.delimited import read_delimited, read_lines  # noqa: E402
 from fragloom.sources.exports import write_lines  # noqa: E402
@@ -58,6 +58,7 @@ def main() -> None:
         F.when(hashed < 334, 4.0).otherwise((hashed % 11) / 2.0).alias("rating"),
     ).write.parquet(path)
     base = spark.read.parquet(path)
+    size = stored_bytes(spark, path)
     spec = RangeSpec(N)
     noop(assign_range(base, spec))
 
@@ -72,7 +73,7 @@ def main() -> None:
 
     report(
         "range split",
-        one_pass=seconds(lambda: write_split(assign_range(base, spec), scratch(), N)),
+        planned_files=seconds(lambda: write_split(assign_range(base, spec), scratch(), N, size)),
         gathered=seconds(
             lambda: assign_range(base, spec)
             .repartition(FRAGMENT_ID)
@@ -94,7 +95,7 @@ def main() -> None:
     )
 
     def deal(numbered):
-        write_split(assign_round_robin(numbered, N), scratch(), N)
+        write_split(assign_round_robin(numbered, N), scratch(), N, size)
 
     report(
         "round-robin split",
@@ -107,7 +108,7 @@ def main() -> None:
     write_lines(base.withColumn("timestamp", F.lit(838985046)), lines, "::")
     report(
         "text load",
-        csv_reader=seconds(lambda: read_delimited(spark, lines).write.parquet(scratch())),
+        strict=seconds(lambda: read_delimited(spark, lines).write.parquet(scratch())),
         split_lines=seconds(lambda: read_lines(spark, lines).write.parquet(scratch())),
         skip_bad=seconds(lambda: read_lines(spark, lines, bad_records="skip").write.parquet(scratch())),
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fragloom.functions.ranges import FRAGMENT_ID, RangeSpec, assign_range, fragment_of_value
+from fragloom.functions.ranges import FRAGMENT_ID, RangeSpec, fragment_of_value
 from fragloom.operators import checks, counts
 from fragloom.operators.numbering import number_rows, number_stored_rows
 from fragloom.operators.splits import last_fragment, union_of_fragments
