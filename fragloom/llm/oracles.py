@@ -1,7 +1,7 @@
 """What the queries of this subpackage must return, as SQL for another engine, where SQL can say it.
 
-Fingerprints by chunks, learned scores, XXH64, byte pair merges, strings of 400 bytes at every
-byte, and boundaries found by search are tested against brute force instead.
+Fingerprints by chunks, learned scores, XXH64, byte pair merges and boundaries found by search are
+tested against brute force instead.
 """
 
 from __future__ import annotations
@@ -56,6 +56,32 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_words, CAST(coalesce(remove
 FROM d LEFT JOIN summed USING (doc_id)
 """
 
+# Strings are compared by their MD5; what is kept is put together in hexadecimal.
+_STRINGS = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, '')) AS n FROM documents),
+places AS (SELECT doc_id, b, unnest(range(1, n - 398)) AS i FROM d WHERE n >= 400),
+counted AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY p) AS times
+  FROM (SELECT doc_id, i, md5_number(b[i : i + 399]) AS p FROM places)
+),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new
+  FROM counted WHERE times > 1
+),
+grouped AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, min(i) AS s, max(i) + 400 AS e FROM grouped GROUP BY doc_id, span),
+cut AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 1) AS before FROM spans),
+summed AS (
+  SELECT doc_id, count(*) AS n_spans, sum(e - s) AS removed, max(e) AS last,
+         string_agg(hex(b[before : s - 1]), '' ORDER BY s) AS kept
+  FROM cut JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept || hex(b[last : n]), hex(b)))) AS kept_sha256
+FROM d LEFT JOIN summed USING (doc_id)
+"""
+
 # Characters of the marks around a text of each role, `<s>` and `</s>` included.
 _CHAT = r"""
 WITH c AS (
@@ -105,5 +131,6 @@ ORACLES: dict[str, str] = {
     "op2_wu_manber_decontamination": _LEAKS,
     "op4_de_bruijn_dedup": _REPEATS,
     "op6_prefix_target_chat": _CHAT,
+    "op8_suffix_array_dedup": _STRINGS,
     "op9_salvaged_warc": _ARCHIVES,
 }
