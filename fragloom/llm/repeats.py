@@ -27,8 +27,9 @@ from fragloom.llm.anchors import mixed, runs_of
 from fragloom.llm.bitmaps import bitmap_of, held, may_hold
 from fragloom.llm.common import batch_rows, quoted, stored, utf8
 
-# Rows that a scan gathers before it hands them on.
-_GATHER = 1 << 16
+# Rows, and bytes of slices, that a scan gathers before it hands them on.
+_GATHER = 1 << 14
+_GATHER_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -148,7 +149,7 @@ def scan(texts: DataFrame, columns: Sequence[T.StructField], found_in: Callable[
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, keys, lengths, parts, gathered = [], [], [], [[] for _ in columns], 0
+        docs, keys, lengths, parts, gathered, size = [], [], [], [[] for _ in columns], 0, 0
 
         def batch() -> pa.RecordBatch:
             of = pa.array(np.repeat(np.arange(len(docs)), lengths))
@@ -167,11 +168,15 @@ def scan(texts: DataFrame, columns: Sequence[T.StructField], found_in: Callable[
             keys.append(key)
             lengths.append(n)
             for part, values in zip(parts, found, strict=True):
-                part.append(values.view(np.int64) if isinstance(values, np.ndarray) else values)
+                if isinstance(values, np.ndarray):
+                    part.append(values.view(np.int64))
+                else:
+                    part.append(values)
+                    size += sum(map(len, values))
             gathered += n
-            if gathered >= _GATHER:
+            if gathered >= _GATHER or size >= _GATHER_BYTES:
                 yield batch()
-                docs, keys, lengths, parts, gathered = [], [], [], [[] for _ in columns], 0
+                docs, keys, lengths, parts, gathered, size = [], [], [], [[] for _ in columns], 0, 0
         if gathered:
             yield batch()
 
@@ -242,17 +247,19 @@ def with_spans(rows: DataFrame, spans: DataFrame, run: Callable, schema: T.Struc
     """
     spans = stored(spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "n")).alias("spans")), "spans")
     shared = bitmap_of(spans.select("key"))
-    flagged = rows.withColumn("cut", may_hold(shared, F.col("key")))
     other = spans.select(F.col("doc").alias("d"), F.col("key").alias("k"), "spans.start", "spans.n")
     match = (F.col("key") == F.col("k")) & F.col("doc").eqNullSafe(F.col("d"))
-    cut = flagged.where("cut").drop("cut").join(other, match, "left").drop("d", "k")
-    none = F.lit(None).cast("array<bigint>")
-    whole = flagged.where("NOT cut").drop("cut").select("*", none.alias("start"), none.alias("n"))
+    cut = rows.where(may_hold(shared, F.col("key"))).join(other, match, "left").drop("d", "k")
 
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The key is the second column; each row is either here or in the join.
+        key, bits = 1, shared.value
+        yield from run((*row, None, None) for row in batch_rows(batches) if not held(bits, np.array([row[key]]))[0])
+
+    def run_cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batch_rows(batches))
 
-    return whole.mapInArrow(task, schema).union(cut.mapInArrow(task, schema))
+    return rows.mapInArrow(run_whole, schema).union(cut.mapInArrow(run_cut, schema))
 
 
 def covered(length: int, starts: Sequence[int] | None, counts: Sequence[int] | None, size: int) -> np.ndarray:

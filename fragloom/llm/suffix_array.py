@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 from fragloom.llm.common import arrow_batches, batch_rows, quoted, stored, table, tasks
 from fragloom.llm.repeats import ByteText, RepeatedRuns, Runs, _long, as_texts, covered, with_spans
 
-BLOCK_BYTES = 2 << 20
-HOT = 4096
+BLOCK_BYTES = 1 << 18
+HOT = 1024
 
 WINDOW = ByteText.size
 
