@@ -35,7 +35,10 @@ from fragloom.llm.common import arrow_batches, batch_rows, quoted, stored, table
 from fragloom.llm.repeats import ByteText, RepeatedRuns, Runs, _long, as_texts, covered, with_spans
 
 BLOCK_BYTES = 1 << 18
-HOT = 1024
+SORTED_AT_ONCE = 1 << 17
+
+# Different runs of an anchor that a block takes: about 9 MB of text.
+HOT = 1 << 14
 
 WINDOW = ByteText.size
 
@@ -52,12 +55,6 @@ _RANKED = 4 * PERIOD
 _ENDS = 24
 
 
-def _eights(text: np.ndarray) -> np.ndarray:
-    """The eight bytes from each position on as a number that sorts as they do."""
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    return np.ndarray((len(text),), ">u8", padded, 0, (1,)).astype(np.uint64)
-
-
 def _dense(keys: Sequence[np.ndarray]) -> np.ndarray:
     """Ranks of rows by several keys, the first one first; equal rows share a rank."""
     order = np.lexsort(tuple(reversed(keys)))
@@ -65,7 +62,7 @@ def _dense(keys: Sequence[np.ndarray]) -> np.ndarray:
     for key in keys:
         ordered = key[order]
         differ[1:] |= ordered[1:] != ordered[:-1]
-    ranks = np.empty(len(order), np.int64)
+    ranks = np.empty(len(order), np.int32)
     ranks[order] = np.cumsum(differ)
     return ranks
 
@@ -78,20 +75,27 @@ class Block:
         # Room behind a slice for ranks that look past its end.
         rooms = lengths + _RANKED
         self.offsets = np.cumsum(rooms) - rooms
-        self.text = np.frombuffer(b"".join(s + b"\0" * _RANKED for s in slices), np.uint8)
+        self.size = int(rooms.sum())
+        text = b"".join(s + b"\0" * _RANKED for s in slices) + b"\0" * 8
+        # The eight bytes from each position on as a number that sorts as they do.
+        self.view = np.ndarray((self.size,), ">u8", text, 0, (1,))
         self.counts = lengths - WINDOW + 1
         self.anchors = self.offsets + np.array(anchor_at)
-        self.eights = _eights(self.text)
         self._rank_cover(rooms)
 
+    def _eight(self, at: np.ndarray) -> np.ndarray:
+        return self.view[at].astype(np.uint64)
+
     def _rank_cover(self, rooms: np.ndarray) -> None:
         """Ranks by 228 bytes at the positions of the cover; elsewhere -1."""
-        residue = (np.arange(len(self.text)) - np.repeat(self.anchors, rooms)) % PERIOD
+        residue = (np.arange(self.size) - np.repeat(self.anchors, rooms)) % PERIOD
         cover = np.flatnonzero(_IN_COVER[residue])
-        cover = cover[cover < len(self.text) - 2 * PERIOD]
+        cover = cover[cover < self.size - 2 * PERIOD]
         starts = [*range(0, PERIOD - 8, 8), PERIOD - 8]
-        first = _dense([self.eights[np.minimum(cover + s, len(self.text) - 1)] for s in starts])
-        self.rank = np.full(len(self.text) + _RANKED, -1, np.int64)
+        half = len(starts) // 2
+        first = _dense([self._eight(cover + s) for s in starts[:half]])
+        first = _dense([first, *(self._eight(cover + s) for s in starts[half:])])
+        self.rank = np.full(self.size + _RANKED, -1, np.int32)
         self.rank[cover] = first
         for step in (PERIOD, 2 * PERIOD):
             self.rank[cover] = _dense([self.rank[cover], self.rank[cover + step]])
@@ -99,20 +103,35 @@ class Block:
     def repeated(self, bucket: np.ndarray) -> np.ndarray:
         """Which windows, slice by slice, have an equal one elsewhere in the same bucket.
 
-        `bucket` numbers the anchor of each slice.
+        `bucket` numbers the anchor of each slice. Buckets, an anchor and a distance from it, are
+        sorted some distances at a time, about `SORTED_AT_ONCE` windows.
         """
         before = np.cumsum(self.counts) - self.counts
         at = np.repeat(self.offsets - before, self.counts) + np.arange(self.counts.sum())
         distance = np.repeat(self.anchors, self.counts) - at
+        anchor = np.repeat(bucket, self.counts)
+        found = np.zeros(len(at), bool)
+        by_distance = np.argsort(distance, kind="stable")
+        ends = np.cumsum(np.bincount(distance))
+        start = 0
+        while start < len(at):
+            end = ends[min(np.searchsorted(ends, start + SORTED_AT_ONCE), len(ends) - 1)]
+            some = by_distance[start:end]
+            found[some] = self._equal(anchor[some], at[some], distance[some])
+            start = end
+        return found
+
+    def _equal(self, anchor: np.ndarray, at: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        """Which of these windows agree with a neighbour in the order of their suffixes."""
         ahead = _AHEAD[(-distance) % PERIOD]
         second = at + WINDOW - _RANKED
         second -= _BACK[(second - at - distance) % PERIOD]
         keys = [
-            np.repeat(bucket, self.counts) * WINDOW + distance,
-            *(self.eights[at + s] for s in range(0, _ENDS, 8)),
+            anchor * WINDOW + distance,
+            *(self._eight(at + s) for s in range(0, _ENDS, 8)),
             self.rank[at + ahead],
             self.rank[second],
-            *(self.eights[at + s] for s in range(WINDOW - _ENDS, WINDOW, 8)),
+            *(self._eight(at + s) for s in range(WINDOW - _ENDS, WINDOW, 8)),
         ]
         order = np.lexsort(tuple(reversed(keys)))
         same = np.ones(max(0, len(order) - 1), bool)
