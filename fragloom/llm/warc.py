@@ -58,9 +58,15 @@ def digest_of(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def open_folder(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system and the path in it of a shared folder, as executors see them."""
-    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark takes it to have, so that executors find the same one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system and the path in it of a qualified folder, as executors see them."""
+    return fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", re.sub("^s3[an]:", "s3:", uri)))
 
 
 def _urn(page_id: object) -> str:
@@ -241,6 +247,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write a record for each page; returns the manifest (path, records, bytes) of finished tasks."""
+    folder = qualified(pages.sparkSession, folder)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def archives() -> Iterator[tuple[str, int, int]]:
@@ -293,6 +300,7 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
     page_id and refers_to come as text; a revisit's length and digest are those of the payload it
     refers to.
     """
+    folder = qualified(manifest.sparkSession, folder)
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
