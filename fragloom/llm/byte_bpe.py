@@ -34,8 +34,8 @@ from fragloom.llm.common import arrow_batches, batch_rows, quoted, table
 MAX_RANK_BYTES = 64 << 20
 
 # Pieces encoded at a time, pieces whose ids a task remembers, leaves of trees side by side.
-BLOCK_PIECES = 400_000
-KNOWN_PIECES = 450_000
+BLOCK_PIECES = 200_000
+KNOWN_PIECES = 300_000
 FOREST_LEAVES = 1 << 19
 
 # Bytes beyond which a piece gets a tree by itself.
@@ -288,43 +288,70 @@ def _rank_file(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(data)
 
 
+def _rows_to(documents: DataFrame, id_col: str, columns: list[T.StructField]) -> T.StructType:
+    return T.StructType([T.StructField("doc_id", documents.schema[id_col].dataType), *columns])
+
+
+_IDS, _DECODED = T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())
+
+
+def _encoded(rows: Iterable[tuple], data: bytes, pattern: str) -> Iterator[tuple]:
+    """(id, text) to (id, ids)."""
+    return _encoder(data, pattern).encode((doc_id, text or "") for doc_id, text in rows)
+
+
+def _decoded(rows: Iterable[tuple], data: bytes) -> Iterator[tuple]:
+    """(id, ids) to (id, ids, decoded)."""
+    tokens = {rank: token for token, rank in parse_ranks(data).items()}
+    for doc_id, ids in rows:
+        yield doc_id, ids, b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def _texts(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return documents.select(documents[quoted(id_col)].alias("doc_id"), documents[quoted(text_col)].alias("text"))
+
+
 def encode_documents(
     documents: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per document: doc_id and ids, little-endian unsigned 32-bit integers one after another."""
     ranks = _rank_file(documents.sparkSession, rank_path)
-    schema = T.StructType(
-        [T.StructField("doc_id", documents.schema[id_col].dataType), T.StructField("ids", T.BinaryType())]
-    )
+    schema = _rows_to(documents, id_col, [_IDS])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((doc_id, text or "") for doc_id, text in batch_rows(batches))
-        yield from arrow_batches(_encoder(ranks.value, pattern).encode(rows), schema)
+        yield from arrow_batches(_encoded(batch_rows(batches), ranks.value, pattern), schema)
 
-    rows = documents.select(documents[quoted(id_col)].alias("doc_id"), documents[quoted(text_col)].alias("text"))
-    return rows.mapInArrow(run, schema)
+    return _texts(documents, id_col, text_col).mapInArrow(run, schema)
 
 
 def decode_documents(encoded: DataFrame, rank_path: str) -> DataFrame:
     """Encoded documents with `decoded`, the bytes that their ids stand for."""
     ranks = _rank_file(encoded.sparkSession, rank_path)
-    schema = T.StructType([encoded.schema["doc_id"], encoded.schema["ids"], T.StructField("decoded", T.BinaryType())])
+    schema = _rows_to(encoded, "doc_id", [_IDS, _DECODED])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in parse_ranks(ranks.value).items()}
-        rows = (
-            (doc_id, ids, b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())))
-            for doc_id, ids in batch_rows(batches)
-        )
-        yield from arrow_batches(rows, schema)
+        yield from arrow_batches(_decoded(batch_rows(batches), ranks.value), schema)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, schema)
 
 
+def round_trip(
+    documents: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per document: doc_id, ids and decoded; both ways in one Python worker a task."""
+    ranks = _rank_file(documents.sparkSession, rank_path)
+    schema = _rows_to(documents, id_col, [_IDS, _DECODED])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data = ranks.value
+        yield from arrow_batches(_decoded(_encoded(batch_rows(batches), data, pattern), data), schema)
+
+    return _texts(documents, id_col, text_col).mapInArrow(run, schema)
+
+
 def token_digests(documents: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    decoded = decode_documents(encode_documents(documents, rank_path, pattern), rank_path)
-    return decoded.select(
+    return round_trip(documents, rank_path, pattern).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

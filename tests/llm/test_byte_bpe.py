@@ -32,6 +32,12 @@ def test_every_case_against_the_library(spark, reference):
     assert rows_of(b.token_digests(documents(spark), PATH, public_tokenizers.PATTERN)) == sorted(want, key=repr)
 
 
+def test_encoding_and_decoding_apart_are_the_round_trip(spark):
+    docs = documents(spark)
+    apart = b.decode_documents(b.encode_documents(docs, PATH, public_tokenizers.PATTERN), PATH)
+    assert rows_of(apart) == rows_of(b.round_trip(docs, PATH, public_tokenizers.PATTERN))
+
+
 def test_no_rows(spark):
     assert b.token_digests(documents(spark, []), PATH, public_tokenizers.PATTERN).collect() == []
 
