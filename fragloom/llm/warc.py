@@ -42,12 +42,14 @@ ARCHIVE_BYTES = 256 << 20
 COMPRESSION = 4
 
 _CHUNK = 1 << 18
+# Read at a time while a header has not ended.
 _HEADER_BYTES = 1 << 16
 _URN = "urn:page:"
 
 #: Fixed values of the format.
 VERSION = b"WARC/1.1\r\n"
 _VERSION_LINE = b"WARC/1."
+_NEXT = b"\r\n" + _VERSION_LINE
 _MEMBER = b"\x1f\x8b\x08"
 _BREAK = b"\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -209,9 +211,22 @@ class SalvageReader:
             raise Damaged("length differs")
         return _checked(head, rest[: int(length)], start, position - len(inflate.unused_data))
 
+    def _head(self, start: int) -> bytes:
+        """A header of any length: up to its blank line, which comes before a next version line."""
+        head = bytearray()
+        while chunk := self._at(start + len(head), _HEADER_BYTES):
+            seen = max(0, len(head) - len(_NEXT) + 1)
+            head += chunk
+            end, version = head.find(_BREAK, seen), head.find(_NEXT, seen)
+            if end >= 0 and (version < 0 or end < version):
+                return bytes(head[:end])
+            if version >= 0:
+                break
+        raise Damaged("no header, or longer than the archive")
+
     def _plain(self, start: int) -> Record:
-        head, found, _ = self._at(start, _HEADER_BYTES).partition(_BREAK)
-        length = _headers(head).get("content-length", "") if found else ""
+        head = self._head(start)
+        length = _headers(head).get("content-length", "")
         block_at = start + len(head) + len(_BREAK)
         if not length.isdigit() or block_at + int(length) + len(_BREAK) > self.size:
             raise Damaged("no header, or longer than the archive")

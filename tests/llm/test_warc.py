@@ -125,3 +125,15 @@ def test_nothing_but_garbage():
     for compressed in (True, False):
         (gap,) = warc.SalvageReader(io.BytesIO(data), len(data), compressed)
         assert (gap.start, gap.end) == (0, len(data))
+
+
+@pytest.mark.parametrize("length", [100, (1 << 16) - 200, 1 << 16, 300_000])
+def test_headers_of_any_length_in_plain_archives(length):
+    member = warc.build_record(1, "http://a.example/" + "x" * length, b"<p>one</p>", None, False)
+    short = warc.build_record(2, "http://b.example/", b"<p>two</p>", None, False)
+    cut = member[: length // 2 + 20] + b"\r\n"
+    data = member + short + cut + short
+    one, two, gap, again = warc.SalvageReader(io.BytesIO(data), len(data), compressed=False)
+    assert one.end == len(member) and two.end == len(member) + len(short)
+    assert (gap.start, gap.end) == (two.end, two.end + len(cut))
+    assert again.headers == two.headers
