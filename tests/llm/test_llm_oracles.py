@@ -20,10 +20,10 @@ def duck():
     return con
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = contract.queries()
     assert "pipeline" in names and ORACLES.keys() <= contract.oracle_sql().keys()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and QUERIES.keys() <= names.keys()
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and QUERIES.keys() <= names.keys()
 
 
 @pytest.mark.parametrize("name", ORACLES)
