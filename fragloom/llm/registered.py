@@ -8,6 +8,7 @@ from fragloom.llm.de_bruijn import op4_de_bruijn_dedup
 from fragloom.llm.decontaminate import op2_wu_manber_decontamination
 from fragloom.llm.fingerprints import op1_chunk_fingerprints
 from fragloom.llm.line_rules import op11_line_first_rules
+from fragloom.llm.manifest import op12_slot_pivot_manifest
 from fragloom.llm.oracles import ORACLES
 from fragloom.llm.quality import op3_fourier_quality
 from fragloom.llm.sharding import op10_histogram_sort_shards
@@ -29,4 +30,5 @@ QUERIES = {
     "op9_salvaged_warc": op9_salvaged_warc,
     "op10_histogram_sort_shards": op10_histogram_sort_shards,
     "op11_line_first_rules": op11_line_first_rules,
+    "op12_slot_pivot_manifest": op12_slot_pivot_manifest,
 }
