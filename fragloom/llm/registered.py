@@ -10,6 +10,7 @@ from fragloom.llm.fingerprints import op1_chunk_fingerprints
 from fragloom.llm.line_rules import op11_line_first_rules
 from fragloom.llm.manifest import op12_slot_pivot_manifest
 from fragloom.llm.oracles import ORACLES
+from fragloom.llm.prefix_trie import op13_prefix_trie
 from fragloom.llm.quality import op3_fourier_quality
 from fragloom.llm.sharding import op10_histogram_sort_shards
 from fragloom.llm.simhash import op5_multi_index_simhash
@@ -31,4 +32,5 @@ QUERIES = {
     "op10_histogram_sort_shards": op10_histogram_sort_shards,
     "op11_line_first_rules": op11_line_first_rules,
     "op12_slot_pivot_manifest": op12_slot_pivot_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
