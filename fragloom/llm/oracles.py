@@ -6,6 +6,10 @@ tested against brute force instead.
 
 from __future__ import annotations
 
+from fragloom.llm.line_rules import PHRASES, SENTENCE_END, SEPARATOR, SHOUT, SYMBOL
+
+_SENTENCE_END = SENTENCE_END.replace("'", "''")
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -127,10 +131,156 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM fives
 """
 
+# Line rules in the words of fragloom.llm.line_rules; the patterns are those of that module.
+_LINES = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+windows AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, p) AS times
+  FROM (SELECT rid, i, array_to_string(w[i : i + 7], ' ') AS p
+        FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8))
+),
+repeated AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS j FROM windows WHERE times > 1) GROUP BY rid),
+lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d),
+judged AS (
+  SELECT rid, line, len(lw) >= 3 AND regexp_matches(line, '{_SENTENCE_END}')
+         AND 2 * len(regexp_extract_all(line, '{SYMBOL}')) < len(lw)
+         AND 3 * len(regexp_extract_all(line, '{SHOUT}')) <= len(lw)
+         AND 5 * len(regexp_extract_all(line, '{SEPARATOR}')) < len(lw)
+         AND NOT regexp_matches(lower(line), '{"|".join(PHRASES)}') AS passes,
+         length(array_to_string(lw, '')) AS chars
+  FROM (SELECT rid, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw FROM lines) WHERE len(lw) > 0
+),
+summed AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS dups, count(*) FILTER (WHERE NOT passes) AS gone,
+         sum(chars) AS chars, coalesce(sum(chars) FILTER (WHERE passes), 0) AS left_chars
+  FROM judged GROUP BY rid
+),
+figures AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(chars, 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '{SYMBOL}')) AS BIGINT) AS n_symbols, CAST(coalesce(dups, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_lines_removed,
+         CAST(coalesce(left_chars, 0) AS BIGINT) AS kept_chars
+  FROM d LEFT JOIN summed USING (rid) LEFT JOIN repeated USING (rid)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * (word_chars - kept_chars) <= 30 * word_chars AS kept
+FROM figures
+"""
+
+
+def _crc32(text: str) -> str:
+    """The CRC of an ASCII text, unsigned."""
+    turn = "list_reduce(range(8), lambda c, i: xor(c >> 1, (c & 1) * 3988292384), xor(crc, byte))"
+    of = f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ord(substr({text}, i, 1)) AS BIGINT))"
+    return f"xor(list_reduce({of}, lambda crc, byte: {turn}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+_TREE = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {_leaf("text")} AS leaf, {_leaf(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} AS lowered,
+         {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 AS chosen, dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree
+  FROM documents
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY tree) AS n, row_number() OVER () AS rid
+  FROM d
+),
+low AS (
+  SELECT 0 AS lvl, tree, place, n, leaf AS node FROM leaves
+  UNION ALL
+  SELECT lvl + 1, tree, place // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY place))
+  FROM low WHERE n > 1 GROUP BY lvl, tree, place // 16, n
+),
+tops AS (SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS lvl, place, n, node FROM tops
+  UNION ALL
+  SELECT lvl + 1, place // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY place))
+  FROM high WHERE n > 1 GROUP BY lvl, place // 16, n
+),
+nodes AS (
+  SELECT 0 AS part, lvl, tree, place, node FROM low UNION ALL SELECT 1, lvl, 0, place, node FROM high
+),
+sides AS (
+  SELECT part, lvl, tree, place,
+         coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM nodes WINDOW run AS (PARTITION BY part, lvl, tree, place // 16 ORDER BY place)
+),
+walk AS (
+  SELECT rid, 0 AS lvl, tree, place, n, CASE WHEN chosen THEN lowered ELSE leaf END AS node, '' AS proof FROM leaves
+  UNION ALL
+  SELECT rid, walk.lvl + 1, walk.tree, walk.place // 16, (n + 15) // 16, sha256(before || node || after),
+         proof || before || after
+  FROM walk JOIN sides ON part = 0 AND sides.lvl = walk.lvl AND sides.tree = walk.tree AND sides.place = walk.place
+  WHERE n > 1
+),
+climb AS (
+  SELECT rid, 0 AS lvl, tops.place, tops.n, walk.node, proof FROM walk JOIN tops USING (tree) WHERE walk.n = 1
+  UNION ALL
+  SELECT rid, climb.lvl + 1, climb.place // 16, (n + 15) // 16, sha256(before || node || after), proof || before || after
+  FROM climb JOIN sides ON part = 1 AND sides.lvl = climb.lvl AND sides.place = climb.place
+  WHERE n > 1
+)
+SELECT doc_id, leaf, tops.node AS subroot, high.node AS root, sha256(proof) AS proof_sha256, climb.node AS folded_root,
+       climb.node = high.node AS verified
+FROM leaves JOIN tops USING (tree) JOIN climb USING (rid) JOIN high ON high.n = 1 WHERE climb.n = 1
+"""
+
+# A node is known by the SHA-256 of its turns, each with its lengths.
+_PREFIXES = rf"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+         {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS turn
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT c, list(turn ORDER BY i) AS turns, c - c % 20 AS family, {_crc32("CAST(c AS VARCHAR)")} % 4 AS h FROM t GROUP BY c),
+built AS (
+  SELECT own.c, list_concat(coalesce(head.turns, [])[1 : own.h], own.turns[own.h + 1 :]) AS turns
+  FROM own LEFT JOIN own AS head ON head.c = own.family
+),
+depths AS (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM built),
+prefixes AS (
+  SELECT c, d, len(turns) AS length, turns[d].text AS last,
+         sha256(array_to_string(list_transform(turns[1 : d], lambda x: length(x.role) || ':' || length(x.text) || ':' || x.role || x.text), '')) AS node
+  FROM depths
+),
+paths AS (SELECT c, list(node ORDER BY d) AS path FROM prefixes GROUP BY c),
+nodes AS (
+  SELECT node, min(c) AS conv_id, any_value(d) AS depth, count(*) AS n_convs, count(*) FILTER (WHERE length > d) AS more,
+         (count(*) - 1) * len(regexp_extract_all(coalesce(any_value(last), ''), '[^\x20\x09-\x0D]+')) AS saved,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE length = d), '')) AS ends
+  FROM prefixes GROUP BY node
+),
+lines AS (SELECT nodes.*, path, unnest(range(1, depth + 2)) AS k FROM nodes JOIN paths ON paths.c = nodes.conv_id),
+sums AS (
+  SELECT path[k] AS node, sum(saved) AS saved, count(*) FILTER (WHERE more = 0) AS leaves, count(*) FILTER (WHERE k = depth) AS children
+  FROM lines GROUP BY path[k]
+)
+SELECT nodes.conv_id, CAST(nodes.depth AS BIGINT) AS depth, parent.conv_id AS parent_conv_id,
+       CAST(nodes.n_convs AS BIGINT) AS n_convs, CAST(children AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(sums.saved AS BIGINT) AS saved_tokens, nodes.ends AS ends_sha256
+FROM nodes JOIN sums USING (node) JOIN paths ON paths.c = nodes.conv_id
+LEFT JOIN nodes AS parent ON nodes.depth > 0 AND parent.node = path[nodes.depth]
+"""
+
 ORACLES: dict[str, str] = {
     "op2_wu_manber_decontamination": _LEAKS,
     "op4_de_bruijn_dedup": _REPEATS,
     "op6_prefix_target_chat": _CHAT,
     "op8_suffix_array_dedup": _STRINGS,
     "op9_salvaged_warc": _ARCHIVES,
+    "op11_line_first_rules": _LINES,
+    "op12_slot_pivot_manifest": _TREE,
+    "op13_prefix_trie": _PREFIXES,
 }
