@@ -28,17 +28,35 @@ from fragloom.session import scratch_path
 
 ROW_NUMBER = "row_index"
 
-# Bytes of file offsets, 16 a file, that are broadcast; beyond, the join is shuffled.
+# Bytes of offsets, 16 a file or part, that are broadcast; beyond, the join is shuffled.
 MAX_BROADCAST_BYTES = 64 << 20
-FILE_GROUPS = 1024
+GROUPS = 1024
 
 # monotonically_increasing_id has the partition above this bit, the place below.
 _PLACE_BITS = 33
 
 
-def _start_offsets(counts: Sequence[int]) -> Column:
-    """Per group, the number of rows in the groups before it: a literal array, folded by the optimizer."""
-    return F.split(F.lit(",".join(map(str, [0, *accumulate(counts)]))), ",").cast("array<bigint>")
+def start_offsets(counts: DataFrame, unit: str, group: Column, order: str, unique: bool = True) -> DataFrame:
+    """(unit, offset): the rows of all units before, by (group, order); `counts` has the units' `rows`.
+
+    A group is one of `GROUPS` numbers. Within a group units are summed by a window; only the sums
+    of groups come to the driver, as many for any number of units. With `unique` off two units
+    of a group may be the same by hash, which is refused.
+    """
+    grouped = counts.withColumn("group", group)
+    sums = (
+        grouped.groupBy("group")
+        .agg(F.sum("rows").alias("rows"), F.count("*").alias("units"), F.count_distinct(unit).alias("ids"))
+        .collect()
+    )
+    if not unique and any(g["units"] != g["ids"] for g in sums):
+        raise ValueError("two files have paths of the same hash; rewrite the table")
+    rows = {g["group"]: g["rows"] for g in sums}
+    before = F.array(*map(F.lit, [0, *accumulate(rows.get(i, 0) for i in range(GROUPS))]))
+    in_group = Window.partitionBy("group").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    offset = F.get(before.cast("array<bigint>"), F.col("group")) + F.sum("rows").over(in_group) - F.col("rows")
+    offsets = grouped.select(unit, offset.alias("offset"))
+    return F.broadcast(offsets) if 16 * sum(g["units"] for g in sums) <= MAX_BROADCAST_BYTES else offsets
 
 
 def whole_row(df: DataFrame) -> Column:
@@ -69,27 +87,9 @@ def number_stored_rows(stored: DataFrame, into: str = ROW_NUMBER) -> DataFrame:
     """
     _refuse_taken(stored, into)
     path = F.col("_metadata.file_path")
-    files = (
-        stored.groupBy(path.alias("path"))
-        .agg(F.count("*").alias("rows"))
-        .withColumn("file", F.xxhash64("path"))
-        .withColumn("group", F.pmod(F.col("file"), F.lit(FILE_GROUPS)).cast("int"))
-    )
-    groups = (
-        files.groupBy("group")
-        .agg(F.sum("rows").alias("rows"), F.count("*").alias("files"), F.count_distinct("file").alias("ids"))
-        .collect()
-    )
-    if any(g["files"] != g["ids"] for g in groups):
-        raise ValueError("two files have paths of the same hash; rewrite the table")
-    group_rows = {g["group"]: g["rows"] for g in groups}
-    start = _start_offsets([group_rows.get(i, 0) for i in range(FILE_GROUPS)])
-    in_group = Window.partitionBy("group").orderBy("path").rowsBetween(Window.unboundedPreceding, 0)
-    offsets = files.select(
-        "file", (F.get(start, F.col("group")) + F.sum("rows").over(in_group) - F.col("rows")).alias("offset")
-    )
-    if 16 * sum(g["files"] for g in groups) <= MAX_BROADCAST_BYTES:
-        offsets = F.broadcast(offsets)
+    files = stored.groupBy(path.alias("path")).agg(F.count("*").alias("rows")).withColumn("file", F.xxhash64("path"))
+    group = F.pmod(F.col("file"), F.lit(GROUPS)).cast("int")
+    offsets = start_offsets(files, "file", group, "path", unique=False)
     positioned = stored.select(
         whole_row(stored), F.xxhash64(path).alias("file"), F.col("_metadata.row_index").alias("place")
     )
@@ -124,8 +124,9 @@ def number_rows(
     placed = in_parts.select("row", F.monotonically_increasing_id().alias("at"))
     placed.write.parquet(scratch)
     placed = spark.read.schema(placed.schema).parquet(scratch)
-    part = F.shiftright("at", _PLACE_BITS)
-    counts = {r["part"]: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
-    start = _start_offsets([counts.get(i, 0) for i in range(max(counts, default=0) + 1)])
-    number = F.get(start, part.cast("int")) + F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    return placed.select("row.*", number.alias(into))
+    placed = placed.withColumn("part", F.shiftright("at", _PLACE_BITS).cast("int"))
+    counts = placed.groupBy("part").agg(F.count("*").alias("rows"))
+    # Parts in order, as many to a group as make GROUPS of them at most.
+    offsets = start_offsets(counts, "part", F.floor(F.col("part") / -(-parts // GROUPS)).cast("int"), "part")
+    number = F.col("offset") + F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return placed.join(offsets, "part").select("row.*", number.alias(into))

@@ -43,14 +43,19 @@ def plan_tasks(sizes: Sequence[float], tasks: int) -> list[tuple[int, int]]:
 
 
 def write_split(
-    assigned: DataFrame, path: str, n: int, in_bytes: int, rows: Sequence[int] | None = None
+    assigned: DataFrame,
+    path: str,
+    n: int,
+    in_bytes: int,
+    rows: Sequence[int] | None = None,
+    lookup: Sequence[str] = (),
 ) -> None:
     """Write rows into one directory per fragment.
 
     `in_bytes` is the stored size of the rows. If files stay large enough, each task writes its own
     and no row is shuffled. Otherwise tasks get fragments, or parts of them, by their size,
     which `rows`, or one count, tells: adaptive execution is not needed for it. Rows are
-    read twice then, so the frame must come from stored files.
+    read twice then, so the frame must come from stored files. `lookup` is as in `write_batch`.
     """
     # A scan has a task for each core, more where the splits of its files would be too large.
     read_tasks = max(assigned.sparkSession.sparkContext.defaultParallelism, in_bytes // FILE_BYTES)
@@ -64,6 +69,35 @@ def write_split(
         fragment = F.col(FRAGMENT_ID)
         task = F.get(first, fragment) + F.pmod(F.monotonically_increasing_id(), F.get(files, fragment)).cast("int")
         assigned = assigned.repartitionById(max(a + b for a, b in plan), task)
+    _write(assigned, path, lookup)
+
+
+def write_batch(assigned: DataFrame, path: str, n: int, lookup: Sequence[str] = ()) -> None:
+    """Write rows of unknown size into one directory per fragment, reading them once.
+
+    Adaptive execution sizes the tasks: small fragments share one, large ones are divided. Where it
+    is off, every fragment is dealt out to as many tasks as make the session's shuffle partitions.
+    Columns of `lookup` order the rows of a file and get Bloom filters, by which a reader skips
+    row groups and pages that cannot hold a value.
+    """
+    spark = assigned.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        assigned = assigned.hint("rebalance", F.col(FRAGMENT_ID))
+    else:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(max(1, tasks // n)))
+        assigned = assigned.repartition(tasks, FRAGMENT_ID, salt)
+    _write(assigned, path, lookup)
+
+
+def _write(assigned: DataFrame, path: str, lookup: Sequence[str]) -> None:
+    if lookup:
+        assigned = assigned.sortWithinPartitions(FRAGMENT_ID, *("`" + c.replace("`", "``") + "`" for c in lookup))
     # A session set to overwrite single partitions would keep those of a failed attempt.
     writer = assigned.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    for column in lookup:
+        # The filter's size follows the values that a row group turns out to have.
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if lookup:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     writer.partitionBy(FRAGMENT_ID).parquet(path)

@@ -230,6 +230,34 @@ ORACLES: dict[str, str] = {
         SELECT CAST(count(*) AS BIGINT) AS base_rows, CAST(count(*) AS BIGINT) AS split_rows,
                CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows, true AS reconstructs
         FROM lineitem""",
+    "indexed_lookup": """
+        SELECT movieid, CAST(n AS BIGINT) AS n_rows
+        FROM (SELECT min(o_orderkey) AS movieid, 1 AS n FROM orders UNION ALL SELECT max(o_orderkey), 1 FROM orders
+              UNION ALL SELECT max(o_orderkey) + 1, 0 FROM orders)""",
+    "footer_profile": _ratings(f"""
+        , f AS (SELECT {_half_star_fragment("15")} AS fragment_id, rating FROM r)
+        SELECT CAST(i AS INT) AS fragment_id, CAST(count(rating) AS BIGINT) AS n_rows, min(rating) AS min_value, max(rating) AS max_value
+        FROM range(15) AS t(i) LEFT JOIN f ON f.fragment_id = i GROUP BY i"""),
+    "sketch_profile": f"""
+        SELECT {_by_bounds("l_quantity", [0, 10, 20, 30, 40, 50])} AS fragment_id, CAST(count(*) AS BIGINT) AS n_rows,
+               true AS ranks_within, true AS distinct_within
+        FROM lineitem GROUP BY 1""",
+    "interval_pairs": """
+        SELECT c_custkey, CAST(count(*) AS BIGINT) AS n_orders, min(o_orderkey) AS first_order
+        FROM customer JOIN orders
+          ON CAST(o_totalprice AS DOUBLE) BETWEEN CAST(c_acctbal AS DOUBLE) * 10 AND CAST(c_acctbal AS DOUBLE) * 10 + 2000
+        WHERE o_totalprice <= 100000 GROUP BY c_custkey""",
+    "check_prints": """
+        SELECT CAST(count(*) AS BIGINT) AS base_rows, CAST(count(*) AS BIGINT) AS split_rows, true AS reconstructs
+        FROM orders""",
+    "fragment_prints": _ratings(f"""
+        SELECT CAST(CASE WHEN {_OLD} THEN 0 ELSE 1 END AS INT) AS commit, {_RANGE} AS fragment_id,
+               CAST(count(*) AS BIGINT) AS n_rows
+        FROM r GROUP BY 1, 2"""),
+    "damaged_rows": _ratings("""
+        SELECT userid, movieid, rating, CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS BIGINT) AS missing_rows,
+               CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 0 END AS BIGINT) AS extra_rows
+        FROM r WHERE userid % 50 = 0 AND o_orderpriority IN ('1-URGENT', '5-LOW')"""),
     "check_range_fragments": _ratings(f"""
         SELECT {_half_star_fragment("7")} AS fragment_id, CAST(count(*) AS BIGINT) AS expected_rows,
                CAST(count(*) AS BIGINT) AS actual_rows, CAST(0 AS BIGINT) AS difference

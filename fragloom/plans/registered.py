@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from fragloom.functions.ranges import FRAGMENT_ID, RangeSpec, fragment_of_value
 from fragloom.operators import checks, counts
+from fragloom.operators.bagprints import differences
 from fragloom.operators.numbering import number_rows, number_stored_rows
+from fragloom.operators.sketches import COUNT_ERROR, RANK_ERROR
 from fragloom.operators.splits import last_fragment, union_of_fragments
 from fragloom.plans.catalog import BASE, FRAGMENT_PREFIX, RANGE, ROUND_ROBIN
 from fragloom.plans.store import FragmentStore
@@ -156,6 +158,74 @@ def load_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_report(spark, _ratings_file(spark, sf_dir, damaged=True), RATINGS)
 
 
+def indexed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the first and the last movie, and one between that there is not, occur in any fragment.
+
+    Files are ordered by movie and have Bloom filters of it, so most row groups are skipped.
+    """
+    orders = _table(spark, sf_dir, "orders")
+    store = _loaded(spark, "lookup", _as_ratings(orders))
+    store.split_round_robin(TABLE, N, lookup_by=["movieid"])
+    split = store.split(TABLE, ROUND_ROBIN)
+    first, last = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return reduce(
+        DataFrame.unionAll,
+        [
+            split.where(F.col("movieid") == movie).agg(F.lit(movie).cast("bigint").alias("movieid"), F.count("*").alias("n_rows"))
+            for movie in (first, last, last + 1)
+        ],
+    )
+
+
+def footer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and value ranges of 15 fragments and two commits from file footers; four fragments are empty."""
+    old, new = _ratings_by_age(spark, sf_dir)
+    store = _loaded(spark, "footers", old)
+    store.split_range(TABLE, 15)
+    store.append_range(TABLE, new)
+    return store.footer_profile(TABLE, RANGE)
+
+
+def sketch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged sketches of a split and its append beside exact figures: rows, and whether each is within its bound."""
+    lineitem = _table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").cast("double").alias("value"), "l_quantity", "l_shipdate")
+    early = F.col("l_shipdate") < F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")
+    store = _loaded(spark, "sketches", lineitem.where(early))
+    store.split_range(TABLE, N, column="l_quantity", lo=0.0, hi=50.0)
+    store.append_range(TABLE, lineitem.where(~early))
+    ranks = (0.1, 0.5, 0.9)
+    figures = store.quantiles(TABLE, RANGE, "value", ranks)
+    # The exact rank of every estimate: values at most and below it, counted in one more scan.
+    rows = store.split(TABLE, RANGE).join(F.broadcast(figures), FRAGMENT_ID)
+    at = [F.get("quantiles", F.lit(i)) for i in range(len(ranks))]
+    checked = rows.groupBy(FRAGMENT_ID, "n_rows", "distinct_values").agg(
+        F.count_distinct("value").alias("distinct"),
+        *(F.count_if(F.col("value") < q).alias(f"below{i}") for i, q in enumerate(at)),
+        *(F.count_if(F.col("value") <= q).alias(f"upto{i}") for i, q in enumerate(at)),
+    )
+    slack = RANK_ERROR * F.col("n_rows")
+    inside = [
+        (F.col(f"below{i}") - slack <= rank * F.col("n_rows")) & (F.col(f"upto{i}") + slack >= rank * F.col("n_rows"))
+        for i, rank in enumerate(ranks)
+    ]
+    close = F.abs(F.col("distinct_values") - F.col("distinct")) <= COUNT_ERROR * F.col("distinct")
+    return checked.select(
+        FRAGMENT_ID, "n_rows", reduce(lambda a, b: a & b, inside).alias("ranks_within"), close.alias("distinct_within")
+    )
+
+
+def interval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every customer the orders that cost between their balance times 10 and 2000 more."""
+    customer, orders = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "orders")
+    rows = orders.select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"))
+    store = _loaded(spark, "intervals", rows)
+    store.split_range(TABLE, 64, column="price", lo=0.0, hi=100_000.0)
+    low = F.col("c_acctbal").cast("double") * 10
+    intervals = customer.select("c_custkey", low.alias("low"), (low + 2000).alias("high"))
+    pairs = store.join_intervals(TABLE, intervals, "low", "high")
+    return pairs.groupBy("c_custkey").agg(F.count("*").alias("n_orders"), F.min("o_orderkey").alias("first_order"))
+
+
 def check_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of a file against rows stored from it, under each policy."""
     good, damaged = _ratings_file(spark, sf_dir), _ratings_file(spark, sf_dir, damaged=True)
@@ -443,6 +513,38 @@ def check_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.reconstruction(store.base(TABLE), store.split(TABLE, ROUND_ROBIN))
 
 
+def check_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split that grew by an append against its base, by the prints of their commits."""
+    old, new = _ratings_by_age(spark, sf_dir)
+    store = _loaded(spark, "prints", old)
+    store.split_round_robin(TABLE, N)
+    store.append_round_robin(TABLE, new, also_base=True)
+    return store.verify(TABLE, ROUND_ROBIN)
+
+
+def fragment_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every commit and fragment, as its print has them."""
+    old, new = _ratings_by_age(spark, sf_dir)
+    store = _loaded(spark, "prints", old)
+    store.split_range(TABLE, N)
+    store.append_range(TABLE, new)
+    return store.prints(TABLE, RANGE).select("commit", FRAGMENT_ID, "n_rows")
+
+
+def damaged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What differs between the ratings and a split that lost its urgent orders of one customer in
+    fifty and holds those of low priority twice: as many rows, or nearly, but others."""
+    orders = _table(spark, sf_dir, "orders")
+    chosen = F.col("o_custkey") % 50 == 0
+    lost = chosen & (F.col("o_orderpriority") == "1-URGENT")
+    doubled = chosen & (F.col("o_orderpriority") == "5-LOW")
+    damaged = orders.where(~lost).unionAll(orders.where(doubled))
+    store = _loaded(spark, "damaged", _as_ratings(damaged))
+    store.split_round_robin(TABLE, N)
+    found = differences(_as_ratings(orders), store.split(TABLE, ROUND_ROBIN))
+    return found.select("row.*", "missing_rows", "extra_rows")
+
+
 def check_range_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _range_split(spark, sf_dir, 7)
     expected = counts.expected_range_sizes(store.base(TABLE), RangeSpec(7))
@@ -559,9 +661,16 @@ QUERIES: dict[str, Query] = {
         point_lookup,
         rr_point_lookup,
         lookup_defaults,
+        indexed_lookup,
+        footer_profile,
+        sketch_profile,
+        interval_pairs,
         check_completeness,
         check_disjointness,
         check_reconstruction,
+        check_prints,
+        fragment_prints,
+        damaged_rows,
         check_range_fragments,
         check_rr_fragments,
         check_rr_balance,
