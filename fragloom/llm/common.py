@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -33,6 +36,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark takes it to have, so that executors find the same one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system and the path in it of a qualified folder, as executors see them."""
+    return fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", re.sub("^s3[an]:", "s3:", uri)))
+
+
+def read_parquet(folder: str) -> Iterator[tuple]:
+    """The rows of a finished Parquet folder in the shared file system, read by a task."""
+    system, path = open_folder(folder)
+    for info in system.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+        if info.base_name.endswith(".parquet"):
+            with system.open_input_file(info.path) as file:
+                yield from batch_rows(pq.ParquetFile(file).iter_batches())
+
+
 def utf8(column: str) -> Column:
     """The text as UTF-8 bytes, null as no bytes."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

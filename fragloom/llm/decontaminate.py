@@ -9,9 +9,10 @@ stands; where it says zero, the hash bucket of that block selects test strings
 and direct comparison confirms them. Test strings are searched in classes of
 similar length, as the shortest of a class bounds its jumps.
 
-Documents are not shuffled. The benchmark reaches tasks in blocks of at most
-`BLOCK_BYTES`, and rows pass one search stage for each block, which adds its hits
-to a bit mask of the row, so memory is bounded whatever the size of the benchmark.
+Documents are not shuffled. Test strings are made, and equal ones merged, by Spark, and lie in
+the shared folder in blocks of about `BLOCK_BYTES`, which tasks read there. Rows pass one
+search stage for each block, which adds its hits to a bit mask of the row, so memory is
+bounded whatever the size of the benchmark or of one item.
 
 Null and empty texts have no words and are never hit. Rows are judged one by one:
 repeated rows and repeated ids give as many rows. A benchmark without words leaves
@@ -31,11 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fragloom.llm.common import arrow_batches, batch_rows, quoted, table, utf8
+from fragloom.llm.common import arrow_batches, batch_rows, qualified, quoted, read_parquet, stored, table, tasks, utf8
+from fragloom.session import scratch_path
 
 WINDOW_WORDS = 10
 
-# Test strings in one block, in bytes; a block is broadcast to every task.
+# Test strings in one block, in bytes; a Python worker keeps the tables of one.
 BLOCK_BYTES = 32 << 20
 
 # What a byte of prose tells, in symbols: the base of the block length rule.
@@ -119,30 +121,44 @@ class Searcher:
         return found
 
 
-def _blocks(items: Iterable[tuple[str, bytes]], size: int, limit: int) -> Iterator[dict[bytes, list[str]]]:
-    """Test strings with their items, in blocks of bounded bytes; items arrive one at a time."""
-    owners: dict[bytes, list[str]] = defaultdict(list)
-    held = 0
-    for item, text in items:
-        for window in dict.fromkeys(windows_of(words_of(text), size)):
-            held += len(window) + len(item)
-            owners[window].append(item)
-        if held >= limit:
-            yield dict(owners)
-            owners, held = defaultdict(list), 0
-    if owners:
-        yield dict(owners)
+def write_blocks(benchmark: DataFrame, window_words: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> list[str]:
+    """Write all different (test string, item) in blocks of about `block_bytes`; returns their folders.
 
+    Items are cut into windows by the tasks that read them, and dealt to blocks by hash, so neither a
+    long item nor a window of many items fills one: parts of what belongs together may lie in
+    several blocks, whose findings are added up. The driver knows their number alone. A null item id
+    is written as no characters.
+    """
+    schema = T.StructType([T.StructField("item", T.StringType()), T.StructField("window", T.BinaryType())])
 
-def _test_strings(benchmark: DataFrame, window_words: int, block_bytes: int) -> list:
-    """Broadcast blocks of test strings.
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = ((item, window) for item, text in batch_rows(batches) for window in windows_of(words_of(text), window_words))
+        yield from arrow_batches(found, schema)
 
-    The benchmark passes through the driver an item at a time; at most one block is
-    held there before it is broadcast. A null item id is written as no characters.
-    """
-    items = benchmark.select(benchmark["item_id"].cast("string"), utf8("text")).toLocalIterator()
-    blocks = _blocks(((r[0] or "", bytes(r[1])) for r in items), window_words, block_bytes)
-    return [benchmark.sparkSession.sparkContext.broadcast(block) for block in blocks] or [None]
+    items = benchmark.select(F.coalesce(benchmark["item_id"].cast("string"), F.lit("")), utf8("text"))
+    windows = stored(items.mapInArrow(cut, schema).distinct(), "benchmark-windows")
+    size = windows.agg(F.sum(F.length("window") + F.length("item"))).first()[0]
+    if size is None:
+        return []
+    count = -(-size // block_bytes)
+    path = scratch_path(benchmark.sparkSession, "benchmark-blocks")
+    dealt = windows.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(count)))
+    dealt.repartition(min(count, 2 * tasks(windows)), "block").write.partitionBy("block").parquet(path)
+    return [f"{qualified(benchmark.sparkSession, path)}/block={i}" for i in range(count)]
+
+
+_KEPT: dict[str, Searcher] = {}
+
+
+def searcher_of(block: str) -> Searcher:
+    """The searcher of a block, which a Python worker builds once and keeps for its next tasks."""
+    if block not in _KEPT:
+        _KEPT.clear()
+        owners: dict[bytes, list[str]] = defaultdict(list)
+        for item, window in read_parquet(block):
+            owners[window].append(item)
+        _KEPT[block] = Searcher(owners)
+    return _KEPT[block]
 
 
 def find_leaks(
@@ -173,7 +189,10 @@ def find_leaks(
         return row[0], len(hit), n_hit, len(items), hashlib.sha256(joined).hexdigest(), n_hit > 0
 
     rows = documents.select(documents[quoted(id_col)].alias("doc_id"), *_work_columns(documents, text_col))
-    return _search(rows, _test_strings(benchmark, window_words, block_bytes), work, report, out)
+    blocks = write_blocks(benchmark, window_words, block_bytes) or [None]
+    for block in blocks[:-1]:
+        rows = rows.mapInArrow(_stage(block, work, None), work)
+    return rows.mapInArrow(_stage(blocks[-1], out, report), out)
 
 
 def drop_leaks(
@@ -183,17 +202,25 @@ def drop_leaks(
     block_bytes: int = BLOCK_BYTES,
     text_col: str = "text",
 ) -> DataFrame:
-    """The documents without a hit, with all their columns."""
-    work = T.StructType([T.StructField("row", documents.schema), *_WORK])
-    out = T.StructType([T.StructField("row", documents.schema)])
-    whole = F.struct(*(documents[quoted(c)] for c in documents.columns)).alias("row")
-    rows = documents.select(whole, *_work_columns(documents, text_col))
+    """The documents without a hit, with all their columns. Only texts reach Python, once a block."""
+
+    def clean(block: str):
+        @F.arrow_udf("boolean")
+        def without_hit(texts: pa.Array) -> pa.Array:
+            searcher = searcher_of(block)
+            kept = np.ones(len(texts), bool)
+            for i, text in enumerate(texts):
+                words = words_of(text.as_py())
+                hit = np.zeros(len(words), bool)
+                searcher.search(words, hit)
+                kept[i] = not hit.any()
+            return pa.array(kept)
 
-    def keep(row: tuple, hit: np.ndarray, items: set[str]) -> tuple | None:
-        return None if hit.any() else (row[0],)
+        return without_hit
 
-    blocks = _test_strings(benchmark, window_words, block_bytes)
-    return _search(rows, blocks, work, keep, out).select("row.*")
+    for block in write_blocks(benchmark, window_words, block_bytes):
+        documents = documents.where(clean(block)(utf8(quoted(text_col))))
+    return documents
 
 
 #: What a search stage adds to the first column, which it passes on.
@@ -206,20 +233,13 @@ _WORK = (
 
 def _work_columns(documents: DataFrame, text_col: str) -> list:
     none = F.array().cast("array<string>").alias("items")
-    return [F.coalesce(documents[quoted(text_col)].cast("binary"), F.lit(b"")).alias("text"), F.lit(None).cast("binary").alias("hits"), none]
-
+    return [utf8(quoted(text_col)).alias("text"), F.lit(None).cast("binary").alias("hits"), none]
 
-def _search(rows: DataFrame, blocks: list, work: T.StructType, report, out: T.StructType) -> DataFrame:
-    """One search stage for each block; the last one reports."""
-    for block in blocks[:-1]:
-        rows = rows.mapInArrow(_stage(block, work, None), work)
-    return rows.mapInArrow(_stage(blocks[-1], out, report), out)
 
+def _stage(block: str | None, schema: T.StructType, report):
+    """A search of one block; the last one reports."""
 
-def _stage(block, schema: T.StructType, report):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searcher = Searcher(block.value if block else {})
-
         def searched() -> Iterator[tuple]:
             for row in batch_rows(batches):
                 first, text, hits, items = row
@@ -227,11 +247,11 @@ def _stage(block, schema: T.StructType, report):
                 hit = np.zeros(len(words), bool)
                 if hits:
                     hit |= np.unpackbits(np.frombuffer(hits, np.uint8), count=len(words)).view(bool)
-                found = searcher.search(words, hit) | set(items)
+                found = set(items) if block is None else searcher_of(block).search(words, hit) | set(items)
                 if report is None:
                     yield first, text, np.packbits(hit).tobytes(), sorted(found)
-                elif (said := report(row, hit, found)) is not None:
-                    yield said
+                else:
+                    yield report(row, hit, found)
 
         yield from arrow_batches(searched(), schema)
 

@@ -35,6 +35,9 @@ from fragloom.llm.common import arrow_batches, batch_rows, quoted, stored, table
 
 FOURIER_FEATURES = 192
 RIDGE = 1e-3
+# Texts that are Python objects at a time.
+SLICE = 256
+
 THRESHOLD = 0.7
 
 # Cells of the calibration grid between predictions 0 and 1; as many lie beyond on either side.
@@ -267,19 +270,23 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that the learned scorer predicts to be good, with all their columns."""
-    scorer = documents.sparkSession.sparkContext.broadcast(learn(describe(documents), labels))
-    schema = T.StructType([T.StructField("row", documents.schema)])
-    whole = F.struct(*(documents[quoted(c)] for c in documents.columns)).alias("row")
+    """The documents that the learned scorer predicts to be good, with all their columns.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            stats = np.array(list(map(statistics_of, texts))).reshape(len(texts), len(STATISTICS))
-            good = np.ones(len(texts), bool) if scorer.value is None else scorer.value.score(stats) >= THRESHOLD
-            yield batch.select([0]).filter(pa.array(good))
+    Only texts reach Python, once, and some hundred at a time become objects there.
+    """
+    scorer = documents.sparkSession.sparkContext.broadcast(learn(describe(documents), labels))
 
-    return documents.select(whole, utf8(quoted(text_col)).alias("text")).mapInArrow(run, schema).select("row.*")
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
+        if scorer.value is None:
+            return pa.array(np.ones(len(texts), bool))
+        kept = []
+        for at in range(0, len(texts), SLICE):
+            stats = list(map(statistics_of, texts.slice(at, SLICE).to_pylist()))
+            kept.append(scorer.value.score(np.array(stats).reshape(len(stats), len(STATISTICS))) >= THRESHOLD)
+        return pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))
+
+    return documents.where(good(utf8(quoted(text_col))))
 
 
 def op3_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,9 +34,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fragloom.llm.common import arrow_batches, batch_rows, stored, table, tasks, utf8
+from fragloom.llm.common import arrow_batches, batch_rows, open_folder, qualified, stored, table, tasks, utf8
 from fragloom.session import scratch_path
 
+# Parts that the pages of one payload are split into.
+SALTS = 64
+
 MIN_REVISIT_BYTES = 0
 ARCHIVE_BYTES = 256 << 20
 COMPRESSION = 4
@@ -60,17 +63,6 @@ def digest_of(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def qualified(spark: SparkSession, folder: str) -> str:
-    """The folder with the scheme that Spark takes it to have, so that executors find the same one."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-
-
-def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and the path in it of a qualified folder, as executors see them."""
-    return fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", re.sub("^s3[an]:", "s3:", uri)))
-
-
 def _urn(page_id: object) -> str:
     return f"<{_URN}{'' if page_id is None else quote(str(page_id), safe='')}>"
 
@@ -246,7 +238,13 @@ _MANIFEST = T.StructType(
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """Pages (page_id, url, payload) with `refers_to` and whether they are a `revisit`."""
+    """Pages (page_id, url, payload) with `refers_to` and whether they are a `revisit`.
+
+    The digests that several pages have are few beside the pages: those
+    of a payload that a third of all pages share are one row. A page's own digest is computed
+    where the page lies and joined with them; a digest of many pages is split by a salt of
+    `SALTS` values, with which the rows that it is joined to are multiplied.
+    """
     rows = pages.select("page_id", "url", utf8("html").alias("payload"))
     digest = F.unhex(F.sha1("payload")).alias("digest")
     eligible = F.octet_length("payload") >= min_bytes
@@ -255,7 +253,13 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
         rows.where(eligible).select("page_id", digest).groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     )
-    joined = rows.select("*", F.when(eligible, digest).alias("digest")).join(firsts, "digest", "left")
+    salts = F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt")
+    firsts = firsts.select("digest", "first", salts)
+    # A page that no other can be alike to has a key of its own, so that null is no hot key.
+    own = F.unhex(F.sha1(F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.lit(" small"))))
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int").alias("salt")
+    keyed = rows.select("*", F.when(eligible, digest).otherwise(own).alias("digest"), salt)
+    joined = keyed.join(firsts, ["digest", "salt"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     return joined.select("page_id", "url", "payload", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
 

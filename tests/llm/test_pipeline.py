@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from fixtures import documents, rows_of, texts, write_tables
 from test_decontaminate import benchmark, expected as leaks
-from test_simhash import plain_components, plain_fingerprint
+from test_near_copies import plain_kept
 
 from fragloom.llm import byte_bpe, quality
 
@@ -34,8 +34,8 @@ def plain_cut(rows, size=400):
 
 def plain_pipeline(rows, items, good):
     rows = [(i, text or "") for i, text in rows if i in good]
-    groups = plain_components([(i, plain_fingerprint(text)) for i, text in rows])
-    rows = [row for row, (i, _, component) in zip(rows, groups, strict=True) if i == component]
+    alone = set(plain_kept(rows))
+    rows = [row for row in rows if row[0] in alone]
     rows = plain_cut(rows)
     dirty = {r[0] for r in leaks(rows, items) if r[5]}
     ranks = byte_bpe.parse_ranks(open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read())
