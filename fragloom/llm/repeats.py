@@ -192,7 +192,7 @@ class RepeatedRuns:
 
     `places` has every run whose anchor repeats: doc, key, anchor, content, start, n.
     `runs` has each different one of these once: anchor, content, times (that it occurs), first
-    (doc, start, key: its first place) and contents (how many different runs its anchor has).
+    (doc, start, key: its first place), last and contents (how many different runs its anchor has).
     """
 
     def __init__(self, texts: DataFrame, kind: type[WordText] | type[ByteText]):
@@ -211,7 +211,9 @@ class RepeatedRuns:
         self.texts, self.kind = texts, kind
         self.places = stored(scan(texts, _long("anchor", "content", "start", "n"), repeated), "repeated-runs")
         runs = self.places.groupBy("anchor", "content").agg(
-            F.count("*").alias("times"), F.min(F.struct("doc", "start", "key")).alias("first")
+            F.count("*").alias("times"),
+            F.min(F.struct("doc", "start", "key")).alias("first"),
+            F.max(F.struct("doc", "start", "key")).alias("last"),
         )
         runs = stored(runs, "different-runs")
         several = runs.groupBy("anchor").agg(F.count("*").alias("contents"))
@@ -229,6 +231,24 @@ class RepeatedRuns:
         """
         at = F.col("first.key").bitwiseXOR(F.col("first.start"))
         wanted = bitmap_of(self.runs.where((F.col("contents") > 1) & among).select(at.alias("at")))
+        return self._scan_at(wanted, columns, opened)
+
+    def open_two(self, columns: Sequence[T.StructField], opened: Callable) -> DataFrame:
+        """Rows (doc, key, anchor, content, *columns) of the first and the last place of every run that may repeat, no others.
+
+        The first of `columns` must be `run`, where the run of a row starts in its text.
+        """
+        places = F.explode(F.array_distinct(F.array("first", "last"))).alias("at")
+        at = self.runs.select("anchor", "content", places)
+        at = stored(at.select("anchor", "content", "at.doc", "at.key", F.col("at.start").alias("run")), "places-to-open")
+        shared = bitmap_of(at.select(F.col("key").bitwiseXOR(F.col("run")).alias("at")))
+        rows = self._scan_at(shared, columns, opened)
+        # The bitmap lets other places through, more the larger the corpus: they end here.
+        exact = at.select("anchor", "content", F.col("doc").alias("d"), F.col("key").alias("k"), F.col("run").alias("r"))
+        same = (F.col("key") == F.col("k")) & (F.col("run") == F.col("r")) & F.col("doc").eqNullSafe(F.col("d"))
+        return rows.join(exact, same).drop("d", "k", "r")
+
+    def _scan_at(self, wanted, columns: Sequence[T.StructField], opened: Callable) -> DataFrame:
         kind = self.kind
 
         def find(key: int, text: bytes) -> Sequence:

@@ -2,9 +2,11 @@
 
 Only suffixes that may share 400 bytes with another are sorted. Every 400-byte window has
 an anchor within it, and equal windows have it at the same place, so a suffix bucket is an
-anchor and a distance from it. Runs of windows that occur as a whole again are settled
-beforehand. What is left is cut out of the texts, sent to the bucket's task and sorted
-blockwise: a block is one anchor, or several small ones, and at most about `BLOCK_BYTES`.
+anchor and a distance from it. Of the runs of windows whose anchor repeats, equal ones are
+counted once, by hash: the first and the last place of each are cut out of the texts, sent to
+the bucket's task and sorted blockwise. What the sort finds repeated in a run holds at all
+its places: the order decides every byte that goes. A block is one anchor, or several small
+ones, and at most about `BLOCK_BYTES`.
 
 In a block the positions of a difference cover (their distance from the anchor, mod 57, is
 in the cover) are ranked first by their first 57, then 114, then 228 bytes. A suffix is
@@ -12,8 +14,9 @@ then placed by its first bytes, by the ranks of two cover positions that between
 but the ends of its window, and by its last bytes: long ties cost no more than short ones.
 Neighbours that agree in all of these are equal strings.
 
-An anchor with more than `HOT` different runs would outgrow a block; its windows
-are counted by hash instead, summed before the shuffle, which is exact as well.
+The suffix buckets of an anchor with more than `CROWDED` different runs are not one block: they
+are dealt out by groups of `STEP` distances, and by what all windows of a group have in
+common, the bytes around the anchor.
 
 A null text is empty; texts under 400 bytes are never cut. Rows of one id and text are
 still two places, so repeated rows remove each other's long strings. Repeated rows give as
@@ -31,14 +34,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fragloom.llm.bitmaps import bitmap_of, held
 from fragloom.llm.common import arrow_batches, batch_rows, quoted, stored, table, tasks
 from fragloom.llm.repeats import ByteText, RepeatedRuns, Runs, _long, as_texts, covered, with_spans
 
 BLOCK_BYTES = 1 << 18
 SORTED_AT_ONCE = 1 << 17
 
-# Different runs of an anchor that a block takes: about 9 MB of text.
-HOT = 1 << 14
+# Different runs of an anchor above which its distances are dealt to several blocks.
+CROWDED = 1 << 12
+# Distances from such an anchor that stay together.
+STEP = 46
 
 WINDOW = ByteText.size
 
@@ -144,69 +150,90 @@ class Block:
         return found
 
 
-def _slices(text: ByteText, runs: Runs) -> Sequence:
-    """The bytes that the windows of runs cover: anchor, start, place of the anchor, slice."""
-    ends = runs.starts + runs.counts + WINDOW - 1
-    cut = [text.text[s:e] for s, e in zip(runs.starts.tolist(), ends.tolist(), strict=True)]
-    return [runs.anchors, runs.starts, runs.places - runs.starts, cut]
+def _slices(text: ByteText, runs: Runs, crowded: np.ndarray) -> Sequence:
+    """The bytes that the windows of runs cover: run, bucket, offset in the run, place of the anchor, slice.
 
-
-def _window_hashes(text: ByteText, runs: Runs) -> Sequence:
-    """Every window of runs: anchor, window, start."""
-    at = runs.windows()
-    digest = xxhash.xxh3_64_intdigest
-    hashes = np.fromiter((digest(text.text[s : s + WINDOW]) for s in at.tolist()), np.uint64, len(at))
-    return [np.repeat(runs.anchors, runs.counts), hashes, at]
+    Runs of crowded anchors are cut into the windows of each group of distances.
+    """
+    rows: tuple[list, ...] = ([], [], [], [], [])
+    places = zip(runs.starts.tolist(), runs.counts.tolist(), runs.places.tolist(), runs.anchors.view(np.int64).tolist(), crowded.tolist(), strict=True)
+    for start, n, anchor_at, anchor, is_crowded in places:
+        for first, end, bucket in _groups(text, start, n, anchor_at, anchor) if is_crowded else [(start, start + n, anchor)]:
+            cut = text.text[first : end + WINDOW - 1]
+            for column, value in zip(rows, (start, bucket, first - start, anchor_at - first, cut), strict=True):
+                column.append(value)
+    return [*(np.array(column, np.int64) for column in rows[:4]), rows[4]]
+
+
+def _groups(text: ByteText, start: int, n: int, anchor_at: int, anchor: int) -> Iterator[tuple[int, int, int]]:
+    """(first window, end, bucket) of the windows of a run, by the group of their distance from the anchor."""
+    at = start
+    while at < start + n:
+        group = (anchor_at - at) // STEP
+        end = min(start + n, anchor_at - group * STEP + 1)
+        # All windows of the group hold these bytes, whatever their distance.
+        core = text.text[anchor_at - group * STEP : anchor_at - (group + 1) * STEP + WINDOW + 1]
+        seed = (anchor ^ group) & 0xFFFFFFFFFFFFFFFF
+        yield at, end, int(np.uint64(xxhash.xxh3_64_intdigest(core, seed)).view(np.int64))
+        at = end
 
 
 def _blocks(rows: Iterable[tuple]) -> Iterator[list[tuple]]:
-    """Rows sorted by anchor (their third column) in blocks of whole anchors."""
-    block, size, last = [], 0, None
+    """Rows (anchor, content, bucket, offset, place, slice), sorted by bucket, content and offset, in blocks of whole buckets.
+
+    Of the same part of equal runs two rows are enough, and no more are held.
+    """
+    block, size, same = [], 0, 0
     for row in rows:
-        if size >= BLOCK_BYTES and row[2] != last:
-            yield block
-            block, size = [], 0
+        if block and row[2] == block[-1][2]:
+            same = same + 1 if row[:4] == block[-1][:4] else 0
+            if same > 1:
+                continue
+        else:
+            same = 0
+            if size >= BLOCK_BYTES:
+                yield block
+                block, size = [], 0
         block.append(row)
         size += len(row[5])
-        last = row[2]
     if block:
         yield block
 
 
 def _spans_of(block: list[tuple]) -> Iterator[tuple]:
-    """(doc, key, start, n) of the repeated windows of a block."""
+    """(anchor, content, offset, n) of the repeated windows of a block's runs."""
     _, bucket = np.unique(np.array([row[2] for row in block]), return_inverse=True)
     sorted_ = Block([row[5] for row in block], [row[4] for row in block])
     found = sorted_.repeated(bucket)
-    start = 0
+    start, last = 0, None
     for row, n in zip(block, sorted_.counts.tolist(), strict=True):
-        marks = np.flatnonzero(np.diff(found[start : start + n], prepend=False, append=False))
-        for first, end in marks.reshape(-1, 2).tolist():
-            yield row[0], row[1], row[3] + first, end - first
-        start += n
+        if row[:4] != last:
+            marks = np.flatnonzero(np.diff(found[start : start + n], prepend=False, append=False))
+            for first, end in marks.reshape(-1, 2).tolist():
+                yield row[0], row[1], row[3] + first, end - first
+        start, last = start + n, row[:4]
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(doc, key, start, n): n windows from start on that start elsewhere too."""
     runs = RepeatedRuns(texts, ByteText)
-    whole = runs.settled().select("doc", "key", "start", "n")
-    schema = T.StructType([texts.schema["doc"], *_long("key", "start", "n")])
+    crowded = bitmap_of(runs.runs.where(F.col("contents") > CROWDED).select("anchor").distinct())
+
+    def slices(text: ByteText, some: Runs) -> Sequence:
+        return _slices(text, some, held(crowded.value, some.anchors.view(np.int64)))
+
+    columns = [*_long("run", "bucket", "offset", "place"), T.StructField("slice", T.BinaryType())]
+    opened = runs.open_two(columns, slices).select("anchor", "content", "bucket", "offset", "place", "slice")
+    schema = T.StructType(_long("anchor", "content", "offset", "n"))
 
     def sort_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (span for block in _blocks(batch_rows(batches)) for span in _spans_of(block))
         yield from arrow_batches(rows, schema)
 
-    columns = [*_long("anchor", "start", "place"), T.StructField("slice", T.BinaryType())]
-    slices = runs.open(F.col("contents") <= HOT, columns, _slices)
-    dealt = slices.repartition(tasks(slices), "anchor").sortWithinPartitions("anchor")
-    spans = whole.union(dealt.mapInArrow(sort_blocks, schema))
-    if not runs.runs.where(F.col("contents") > HOT).isEmpty():
-        windows = runs.open(F.col("contents") > HOT, _long("anchor", "window", "start"), _window_hashes)
-        windows = stored(windows, "hot-windows")
-        again = windows.groupBy("anchor", "window").agg(F.count("*").alias("times")).where("times > 1").drop("times")
-        one = F.lit(1).cast("bigint").alias("n")
-        spans = spans.union(windows.join(again, ["anchor", "window"]).select("doc", "key", "start", one))
-    return spans
+    dealt = opened.repartition(tasks(opened), "bucket").sortWithinPartitions("bucket", "anchor", "content", "offset")
+    found = stored(dealt.mapInArrow(sort_blocks, schema), "repeated-windows")
+    places = runs.places.select("doc", "key", "anchor", "content", "start")
+    return places.join(found, ["anchor", "content"]).select("doc", "key", (F.col("start") + F.col("offset")).alias("start"), "n")
 
 
 def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,7 +4,9 @@ from collections import Counter
 import pytest
 from fixtures import documents, prose, rows_of, texts
 
-from fragloom.llm import bitmaps, suffix_array
+from pyspark.sql import functions as F
+
+from fragloom.llm import bitmaps, repeats, suffix_array
 
 SIZE = 400
 
@@ -34,8 +36,9 @@ CASES = {
     "as it is": {},
     "tiny blocks": {"BLOCK_BYTES": 1},
     "one block": {"BLOCK_BYTES": 1 << 30},
-    "all anchors hot": {"HOT": 0},
-    "some anchors hot": {"HOT": 5},
+    "all anchors crowded": {"CROWDED": 0},
+    "some anchors crowded": {"CROWDED": 5},
+    "each distance by itself": {"CROWDED": 0, "STEP": 1},
 }
 
 
@@ -51,6 +54,35 @@ def test_full_bitmaps_change_nothing(spark, monkeypatch):
     assert removed(suffix_array.remove_repeats(documents(spark))) == expected(texts())
 
 
+def test_the_sort_decides_every_byte(spark, monkeypatch):
+    monkeypatch.setattr(suffix_array, "_spans_of", lambda block: iter(()))
+    assert all(r.n_removed == 0 for r in suffix_array.remove_repeats(documents(spark)).collect())
+
+
+def test_only_wanted_places_reach_the_sort(spark, monkeypatch):
+    opened = []
+    two = repeats.RepeatedRuns.open_two
+
+    def counted(self, columns, found):
+        rows = two(self, columns, found)
+        opened.append((rows.count(), self.runs.select(F.explode(F.array_distinct(F.array("first", "last")))).count()))
+        return rows
+
+    monkeypatch.setattr(bitmaps, "BITS", 1 << 15)
+    monkeypatch.setattr(repeats.RepeatedRuns, "open_two", counted)
+    rows = [row for row in texts() if row[0] is not None]
+    rows = list(dict(rows).items())  # no repeated rows, which are places of their own
+    assert removed(suffix_array.remove_repeats(documents(spark, rows))) == expected(rows)
+    assert opened[0][0] == opened[0][1] > 0
+
+
+def test_an_anchor_of_many_different_runs(spark, monkeypatch):
+    monkeypatch.setattr(suffix_array, "CROWDED", 100)
+    phrase = prose(71, 60)
+    rows = [(i, prose(5000 + i % 700, 45) + " " + phrase + " " + prose(9000 + i % 650, 45)) for i in range(800)]
+    assert removed(suffix_array.remove_repeats(documents(spark, rows))) == expected(rows)
+
+
 def test_lengths_around_the_window(spark):
     text = prose(70, 400)
     rows = [(n, prose(200 + n, 8) + text[n : n + n % 7 + 397] + prose(400 + n, 8)) for n in range(0, 60, 3)]
