@@ -52,3 +52,48 @@ def test_no_rows(spark):
 def test_nothing_repeats(spark):
     rows = [(i, prose(1000 + i, 40)) for i in range(5)]
     assert all(r.n_removed == 0 for r in de_bruijn.remove_repeats(documents(spark, rows)).collect())
+
+
+def paths_of(spark, rows):
+    """Occurrences (doc, start, edges) of the paths of a corpus, by their first place; and the number of runs."""
+    found = de_bruijn.RepeatedRuns(de_bruijn.as_texts(documents(spark, rows), "doc_id", "text"), de_bruijn.WordText)
+    out = {}
+    for r in de_bruijn.path_places(found).collect():
+        out.setdefault((r.first.doc, r.first.start), []).append((r.doc, r.start, r.n))
+    return out, found.runs.where("times > 1").count()
+
+
+def test_paths_end_where_the_graph_branches(spark):
+    trunk, left, right = (" ".join(f"{name}{i}" for i in range(150)) for name in ("t", "l", "r"))
+    ends = {1: left, 2: left, 3: right, 4: right}
+    rows = [(i, f"{prose(600 + i, 30)} {trunk} {end} {prose(700 + i, 30)}") for i, end in ends.items()]
+    paths, runs = paths_of(spark, rows)
+    # The trunk, and what follows it from the branching node on, each as one path.
+    assert sorted(len(places) for places in paths.values()) == [2, 2, 4] and runs > 20
+    words = {i: space_words(text) for i, text in rows}
+    for (doc, start), places in paths.items():
+        edges = {n for _, _, n in places}
+        assert len(edges) == 1 and (doc, start) == min((d, s) for d, s, _ in places)
+        size = edges.pop() + 19
+        assert size > 120 and len({tuple(words[d][s : s + size]) for d, s, _ in places}) == 1
+
+
+def test_a_chain_of_many_runs_is_one_path_and_rings_end(spark):
+    long = " ".join(f"w{i}" for i in range(3000))
+    paths, runs = paths_of(spark, [(1, long), (2, f"before {long}"), (3, "ab " * 500), (4, "x y " * 300)])
+    chains = [places for first, places in paths.items() if first[0] == 1]
+    assert len(chains) == 1 and len(chains[0]) == 2 and chains[0][0][2] > 2900 and runs > 100
+
+
+def test_equal_hashes_of_runs_that_follow_do_not_join_others(spark, monkeypatch):
+    # All anchors of a text collide: every window has the same one, so runs are told apart by content alone.
+    hashes = de_bruijn.WordText.runs
+
+    def collided(self):
+        found = hashes(self)
+        found.anchors[:] = 1
+        return found
+
+    monkeypatch.setattr(de_bruijn.WordText, "runs", collided)
+    rows = texts()[:28]
+    assert removed(de_bruijn.remove_repeats(documents(spark, rows))) == expected(rows)
