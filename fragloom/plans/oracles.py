@@ -79,6 +79,17 @@ ORACLES: dict[str, str] = {
                     WHEN '3-MEDIUM' THEN 'untypable userid' ELSE 'accepted' END AS reason,
                CAST(count(*) AS BIGINT) AS n_lines
         FROM orders GROUP BY 1""",
+    "load_quarantine": """
+        WITH l AS (
+          SELECT row_number() OVER (ORDER BY o_orderkey) AS position, o_orderpriority AS p,
+                 CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'u' ELSE '' END || o_custkey || '::' || o_orderkey || '::'
+                   || CAST(o_orderkey % 11 AS DOUBLE) / 2.0 AS head
+          FROM orders)
+        SELECT CAST(position AS BIGINT) AS position,
+               CASE p WHEN '1-URGENT' THEN 'short' WHEN '2-HIGH' THEN 'long' ELSE 'untypable userid' END AS reason,
+               '  ' || head || CASE p WHEN '1-URGENT' THEN '' WHEN '2-HIGH' THEN '::838985046::x' ELSE '::838985046' END
+                 || ' ' AS line
+        FROM l WHERE p IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
     "check_load": """
         WITH c AS (SELECT CAST(count(*) AS BIGINT) AS n,
                           CAST(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS BIGINT) AS short,

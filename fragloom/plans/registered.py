@@ -33,6 +33,7 @@ from fragloom.sources.delimited import (
 )
 from fragloom.sources.exports import write_csv, write_lines, write_tsv
 from fragloom.sources.metrics import observe_load
+from fragloom.sources.quarantine import quarantine
 from fragloom.streaming.appends import range_file_stream, store_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +159,15 @@ def load_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_report(spark, _ratings_file(spark, sf_dir, damaged=True), RATINGS)
 
 
+def load_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines of damaged files that follow each other in key order: position, reason and the line."""
+    unordered = spark.read.text(_ratings_file(spark, sf_dir, damaged=True))
+    path = scratch_path(spark, "ordered-lines")
+    key = F.get(F.split(F.trim("value"), SEPARATOR), F.lit(1)).cast("bigint")
+    unordered.orderBy(key).write.text(path)
+    return quarantine(spark, path, RATINGS).select("position", "reason", "line")
+
+
 def indexed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the first and the last movie, and one between that there is not, occur in any fragment.
 
@@ -625,6 +635,7 @@ QUERIES: dict[str, Query] = {
         load_ignore_errors,
         load_append_twice,
         load_reject_report,
+        load_quarantine,
         check_load,
         load_metrics,
         export_csv,

@@ -128,3 +128,15 @@ def test_no_single_task_and_no_shuffle(spark, tmp_path):
     assert "SinglePartition" not in storage_order
     left = storage_order[: storage_order.index("BroadcastExchange")]
     assert "Exchange hashpartitioning" not in left and "rangepartitioning" not in left
+
+
+def test_offsets_of_many_parts_are_numbers_in_a_join(spark):
+    parts = 100_000
+    counts = spark.range(parts).select(F.col("id").cast("int").alias("part"), (F.col("id") % 5).alias("rows"))
+    group = F.floor(F.col("part") / -(-parts // numbering.GROUPS)).cast("int")
+    offsets = numbering.start_offsets(counts, "part", group, "part")
+    # The plan is as large for any number of parts.
+    assert len(offsets._jdf.queryExecution().optimizedPlan().toString()) < 60_000
+    assert "SinglePartition" not in offsets._jdf.queryExecution().executedPlan().toString()
+    wrong = offsets.where(F.col("offset") != F.floor(F.col("part") / 5) * 10 + F.get(F.array(*map(F.lit, [0, 0, 1, 3, 6])), F.col("part") % 5))
+    assert wrong.count() == 0 and offsets.count() == parts
