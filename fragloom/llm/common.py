@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -87,6 +88,17 @@ def arrow_batches(rows: Iterable[tuple], schema: StructType) -> Iterator[pa.Reco
             size = 0
     if columns[0]:
         yield _batch(columns, arrow)
+    del columns
+    give_back()
+
+
+def give_back() -> None:
+    """Return what a task has freed to the system: its Python worker lives on and serves other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps it
+        pass
 
 
 def _batch(columns: Sequence[list], arrow: pa.Schema) -> pa.RecordBatch:
