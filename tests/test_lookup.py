@@ -2,6 +2,7 @@
 
 import datetime
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +158,51 @@ def test_spans_reach_one_fragment_beyond_the_ends(spark):
     table = spark.createDataFrame([(3.0, 5.0)], "low double, high double")
     spans = intervals_of.interval_spans(table, spec, "low", "high").select(FRAGMENT_ID).collect()
     assert sorted(r[0] for r in spans) == [1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize(("n", "policy", "broadcast"), [(1, "drop", 16), (7, "clamp", 2), (64, "drop", 0)])
+def test_interval_totals_equal_those_of_all_pairs(spark, tmp_path, monkeypatch, n, policy, broadcast):
+    monkeypatch.setattr(intervals_of, "BROADCAST_LEVELS", broadcast)
+    rng = random.Random(n)
+    numbers = [rng.choice([0.0, 2.5, 5.0, rng.uniform(-1, 6), None]) for _ in range(3000)]
+    rows = spark.createDataFrame([(i * 7 % 3001, v) for i, v in enumerate(numbers)], "id int, v double")
+    store = FragmentStore(spark, str(tmp_path))
+    store.load("t", rows)
+    store.split_range("t", n, column="v", out_of_range=policy)
+    ends = [sorted((rng.choice(numbers) or -2.0, rng.uniform(-2, 7))) for _ in range(200)]
+    asked = [*INTERVALS, *INTERVALS, *((100 + i, a, b) for i, (a, b) in enumerate(ends))]
+    table = spark.createDataFrame(asked, "name int, low double, high double")
+    got = store.interval_totals("t", table, "low", "high", "id")
+    assert got.columns == ["name", "low", "high", "n_rows", "min_value"]
+    want = []
+    for name, low, high in asked:
+        ids = [i * 7 % 3001 for i, v in enumerate(numbers) if v is not None and (policy == "clamp" or 0 <= v <= 5)
+               and low is not None and high is not None and low <= v <= high]
+        if ids:
+            want.append((name, len(ids), min(ids)))
+    assert sorted(map(tuple, got.select("name", "n_rows", "min_value").collect())) == sorted(want)
+
+
+def test_interval_totals_make_no_pairs(spark, tmp_path):
+    """The largest frame that is joined or aggregated grows with the tables, not with their product."""
+    store = FragmentStore(spark, str(tmp_path / "store"))
+    store.load("t", spark.range(2000).select("id", (F.col("id") / 400.0).alias("v")))
+    store.split_range("t", 4, column="v")
+    table = spark.range(1000).select((F.col("id") / 1000.0).alias("low"), (4.0 + F.col("id") / 1000.0).alias("high"))
+    got = store.interval_totals("t", table, "low", "high", "id")
+    rows = got.agg(F.sum("n_rows")).first()[0]
+    assert rows > 1_000_000
+    spec = store.catalog.get("t", RANGE).spec
+    points, runs = intervals_of._runs(store.split("t", RANGE), table, spec, "id", 0)
+    assert points.count() == 2000 and runs.count() == 1000
+    assert "CartesianProduct" not in got._jdf.queryExecution().toString()
+    assert "NestedLoop" not in got._jdf.queryExecution().toString()
+
+
+def test_interval_totals_of_nothing(spark, tmp_path):
+    store = FragmentStore(spark, str(tmp_path))
+    store.load("t", spark.createDataFrame([], "id int, v double"))
+    store.split_range("t", 4, column="v")
+    none = spark.createDataFrame([(1, 1.0, 2.0)], "name int, low double, high double")
+    assert store.interval_totals("t", none, "low", "high", "id").collect() == []
+    assert store.interval_totals("t", none.where("name = 2"), "low", "high", "id").collect() == []
