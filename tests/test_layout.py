@@ -57,3 +57,30 @@ def test_plan():
     assert plan_tasks([3 * big, 1, 1, big // 2], 4) == [(0, 3), (3, 1), (3, 1), (3, 1)]
     assert plan_tasks([0, 0, 0], 8) == [(0, 1)] * 3
     assert plan_tasks([2 * big + 1, big], 1) == [(0, 3), (3, 1)]
+
+
+def last_plan(session):
+    executions = session._jsparkSession.sharedState().statusStore().executionsList()
+    return max((executions.apply(i) for i in range(executions.size())), key=lambda e: e.executionId()).physicalPlanDescription()
+
+
+@pytest.mark.parametrize("small", [1 << 40, 1])
+def test_rows_are_not_sorted_to_be_written(session, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(layout, "SMALL_FILE_BYTES", small)
+    source, path = str(tmp_path / "source"), str(tmp_path / "split")
+    session.range(0, ROWS, 1, 4).write.parquet(source)
+    before = {name: session.conf.get(name) for name in layout._UNSORTED}
+    assigned = session.read.parquet(source).withColumn(FRAGMENT_ID, (F.col("id") % 5).cast("int"))
+    write_split(assigned, path, 5, stored_bytes(session, source))
+    plan = last_plan(session)
+    assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort" not in plan
+    assert {name: session.conf.get(name) for name in layout._UNSORTED} == before
+    assert session.read.parquet(path).groupBy(FRAGMENT_ID).count().where(f"count = {ROWS // 5}").count() == 5
+
+
+def test_more_fragments_than_open_files(session, tmp_path, monkeypatch):
+    monkeypatch.setitem(layout._UNSORTED, "spark.sql.maxConcurrentOutputFileWriters", "3")
+    monkeypatch.setattr(layout, "SMALL_FILE_BYTES", 1)
+    assert min(written(session, tmp_path, 40, F.col("id") % 40)) >= 1
+    got = session.read.parquet(str(tmp_path / "split")).where(f"id % 40 <> {FRAGMENT_ID}")
+    assert got.count() == 0
