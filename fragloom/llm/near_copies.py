@@ -4,8 +4,10 @@ A text is the set of its five-word shingles, as hashes of 64 bits. Texts are nea
 sets have a Jaccard likeness of 0.8 or more; groups are the components of all such pairs.
 Texts without words have the empty set, which only equals itself.
 
-No Hamming distance of SimHash bits includes every such pair (0.8 gives up to 16 of 64 bits
-on given tables), so candidates come from an index that cannot miss one. In any order of all
+The first links come from SimHash: the sets' fingerprints, found by multi-index tables if two bits
+apart at most (`simhash`), and confirmed by the complete sets. No Hamming distance includes every
+such pair (0.8 gives up to 16 of 64 bits on given tables), so what is not one component by then
+goes on to an index that cannot miss a pair. In any order of all
 shingles two such sets have a shingle in common among the first fifth of each, plus one. The
 order puts those first that few texts hold, by a sketch of counts of a fixed 4 MB: a shared
 line or passage comes last and seldom is a key. When the sketch fills up, keys hold more
@@ -35,7 +37,7 @@ from pyspark.sql import types as T
 from fragloom.llm.bitmaps import bitmap_of, held, may_hold
 from fragloom.llm.common import arrow_batches, batch_rows, quoted, stored, tasks, utf8
 from fragloom.llm.components import connected_components
-from fragloom.llm.simhash import SEED, keep_first_of_each, shingle_hashes
+from fragloom.llm.simhash import SEED, keep_first_of_each, near_fingerprints, shingle_hashes, simhash
 
 SHINGLE_WORDS = 5
 
@@ -107,8 +109,8 @@ def _columns(keys: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def index_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, text_hash, node and size; where it may have a candidate, `keys` and their `places` in
-    the order of the set; written once."""
+    """Per document: doc_id, text_hash, node and size; where it may have a candidate, `keys`, their `places` in
+    the order of the set and the set's fingerprint `fp`; written once."""
     text = documents[quoted(text_col)]
     texts = documents.select(utf8(quoted(text_col)).alias("text"))
     sketch = count_sketch(texts)
@@ -119,6 +121,7 @@ def index_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
             T.StructField("doc_id", documents.schema[id_col].dataType),
             *(T.StructField(name, long) for name in ("text_hash", "node", "size")),
             *(T.StructField(name, T.ArrayType(long)) for name in ("keys", "places")),
+            T.StructField("fp", long),
         ]
     )
 
@@ -141,7 +144,7 @@ def index_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
                 shingles = shingle_set(raw)
                 keys = index_keys(shingles, sketch.value)
                 places = np.flatnonzero(held(shared.value, keys))
-                more = (keys[places].view(np.int64), places) if len(places) else (None, None)
+                more = (keys[places].view(np.int64), places, simhash(shingles)) if len(places) else (None, None, None)
                 yield doc_id, text_hash, node_of(shingles), len(shingles), *more
 
         yield from arrow_batches(found(), schema)
@@ -167,9 +170,12 @@ def live_entries(entries: DataFrame) -> DataFrame:
     return named.where(_reaches("place", "size", smallest - F.lit(1e-6))).drop("least")
 
 
+def _alike_sizes() -> Column:
+    return (F.col("size") * OF >= F.col("v_size") * ALIKE) & (F.col("v_size") * OF >= F.col("size") * ALIKE)
+
+
 def _near() -> Column:
-    alike_sizes = (F.col("size") * OF >= F.col("v_size") * ALIKE) & (F.col("v_size") * OF >= F.col("size") * ALIKE)
-    return alike_sizes & _reaches("place", "size", F.col("v_size")) & _reaches("v_place", "v_size", F.col("size"))
+    return _alike_sizes() & _reaches("place", "size", F.col("v_size")) & _reaches("v_place", "v_size", F.col("size"))
 
 
 def _sets_of(named: DataFrame, nodes: DataFrame, reps: DataFrame) -> DataFrame:
@@ -230,6 +236,23 @@ def ranked_entries(sets: DataFrame) -> DataFrame:
     return common.select("key", "node", "size", place).where(F.col("place") < needed)
 
 
+def simhash_links(nodes: DataFrame, named: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (u, v) of nodes (node, size, fp) whose fingerprints the multi-index tables find near, if their sets are alike.
+
+    Of nodes with one fingerprint the first stands for it, and the others are compared with that one.
+    """
+    first = stored(nodes.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("first")), "fingerprint-nodes")
+    near = near_fingerprints(first.select("fp")).select(F.least("u", "v").alias("fp"), F.greatest("u", "v").alias("v_fp")).distinct()
+    other = first.select(F.col("fp").alias("v_fp"), F.col("first").alias("v_first"))
+    sides = [F.col(f"{side}.{name}").alias(to) for side, at in (("first", ""), ("v_first", "v_")) for name, to in (("node", at + "node"), ("size", at + "size"))]
+    met = near.where("fp <> v_fp").join(first, "fp").join(other, "v_fp").select(*sides)
+    same = nodes.join(first, "fp").select("node", "size", F.col("first.node").alias("v_node"), F.col("first.size").alias("v_size"))
+    met = met.union(same.where("node <> v_node")).where(_alike_sizes()).select(F.col("node").alias("u"), F.col("v_node").alias("v"))
+    met = stored(met, "near-fingerprints")
+    sets = _sets_of(named, met.select(F.col("u").alias("node")).union(met.select("v")), reps)
+    return stored(_alike(met, sets), "alike-fingerprints")
+
+
 def alike_components(index: DataFrame, named: DataFrame) -> DataFrame | None:
     """(node, root) of every node of `index_documents` that is alike another; None if there are none.
 
@@ -237,13 +260,15 @@ def alike_components(index: DataFrame, named: DataFrame) -> DataFrame | None:
     """
     some = index.where("keys IS NOT NULL")
     reps = stored(some.groupBy("node").agg(F.min(_rep()).alias("rep")), "set-names")
-    once = some.select("node", _rep().alias("rep"), "size", F.arrays_zip("keys", "places").alias("at"))
+    once = some.select("node", _rep().alias("rep"), "size", "fp", F.arrays_zip("keys", "places").alias("at"))
     once = once.join(reps, ["node", "rep"], "left_semi").dropDuplicates(["node"])
     entries = once.select("node", "size", F.explode("at").alias("at")).select(
         F.col("at.keys").alias("key"), "node", "size", F.col("at.places").alias("place")
     )
     entries = stored(live_entries(entries), "set-entries")
-    links = found = None
+    links, found = simhash_links(once.select("node", "size", "fp"), named, reps), None
+    if not links.isEmpty():
+        found = stored(connected_components(links), "alike-components")
     before = None
     ranked = False
     while True:
@@ -277,7 +302,7 @@ def alike_components(index: DataFrame, named: DataFrame) -> DataFrame | None:
         met = stored(met.where(_near()).select(F.col("node").alias("u"), "v").distinct(), "candidates")
         sets = _sets_of(named, met.select(F.col("u").alias("node")).union(met.select("v")), reps)
         fresh = stored(_alike(met, sets), "alike")
-        links = fresh if links is None else links.union(fresh)
+        links = links.union(fresh)
         found = stored(connected_components(links), "alike-components")
         if last:
             return found

@@ -107,3 +107,24 @@ def test_awkward_and_no_documents(spark):
     assert kept.columns == docs.columns
     assert rows_of(kept.subtract(docs)) == [] and 0 < kept.count() < len(texts())
     assert near_copies.keep_one_of_alike(documents(spark, [])).collect() == []
+
+
+def test_simhash_tables_find_links_before_the_index(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = []
+    for i in range(30):
+        words = [f"w{i}x{rng.randrange(3000)}" for _ in range(1500)]
+        rows += [(10 * i + k, " ".join([*words[:700], f"z{k}", *words[700:]])) for k in range(3)]
+        rows.append((10 * i + 3, " ".join(words[:1300])))  # alike to less than two bits tell
+    links = []
+    found = near_copies.simhash_links
+
+    def kept_links(nodes, named, reps):
+        fresh = found(nodes, named, reps)
+        links.append(fresh.distinct().count())
+        return fresh
+
+    monkeypatch.setattr(near_copies, "simhash_links", kept_links)
+    kept = stages.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows) == [10 * i for i in range(30)]
+    assert links[0] >= 20
