@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from fragloom import FragmentStore
 from fragloom.functions.ranges import FRAGMENT_ID
 from fragloom.plans import layout
 from fragloom.plans.layout import plan_tasks, stored_bytes, write_split
@@ -59,6 +60,12 @@ def test_plan():
     assert plan_tasks([2 * big + 1, big], 1) == [(0, 3), (3, 1)]
 
 
+def plans(session):
+    """The physical plan of every execution so far, by its number."""
+    found = session._jsparkSession.sharedState().statusStore().executionsList()
+    return {e.executionId(): e.physicalPlanDescription() for e in (found.apply(i) for i in range(found.size()))}
+
+
 def last_plan(session):
     executions = session._jsparkSession.sharedState().statusStore().executionsList()
     return max((executions.apply(i) for i in range(executions.size())), key=lambda e: e.executionId()).physicalPlanDescription()
@@ -78,6 +85,18 @@ def test_rows_are_not_sorted_to_be_written(session, tmp_path, monkeypatch, small
     assert session.read.parquet(path).groupBy(FRAGMENT_ID).count().where(f"count = {ROWS // 5}").count() == 5
 
 
+@pytest.mark.parametrize("small", [1 << 40, 1])
+def test_range_split_of_a_table_is_not_sorted(session, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(layout, "SMALL_FILE_BYTES", small)
+    store = FragmentStore(session, str(tmp_path / "store"))
+    store.load("items", session.range(0, ROWS, 1, 4).select("id", (F.col("id") % 50 + 1).cast("double").alias("quantity")))
+    seen = plans(session)
+    store.split_range("items", 7, column="quantity", lo=0.0, hi=50.0)
+    written = [plan for key, plan in plans(session).items() if key not in seen and "/range-" in plan and "InsertIntoHadoopFsRelationCommand" in plan]
+    assert written and not any("Sort" in plan for plan in written)
+    assert store.split("items", "range").count() == ROWS
+
+
 def test_more_fragments_than_open_files(session, tmp_path, monkeypatch):
     monkeypatch.setitem(layout._UNSORTED, "spark.sql.maxConcurrentOutputFileWriters", "3")
     monkeypatch.setattr(layout, "SMALL_FILE_BYTES", 1)
