@@ -19,13 +19,20 @@ behind, and one of their keys is the first. So an entry whose place is too late
 smallest set at its key is dropped before any pair is made: texts that share most of a form,
 but less than 0.8, have their own shingles first and make no pairs. Rounds compare what is left
 with one node of its key only and join what is alike; nodes of a key that are one component
-already need no comparison. When a round no longer halves the pairs, the nodes that remain are
-ranked anew by exact counts among themselves, and pairs that their places allow are compared.
+already need no comparison. The first comparison always is such a round, so that a group of near copies
+makes no pairs of all its members; every round takes another node, as the last may have been unlike the
+group around it. When rounds no longer halve the pairs, the nodes that remain are ranked anew by exact counts among themselves, and pairs that their places allow are compared.
+
+Before complete sets are brought together, a pair must pass by marks of 128 bytes, the parities of
+the numbers of shingles in 1,024 parts: two sets differ in at least as many shingles as parities,
+so no pair that is alike is lost, and few others are left whose sets must travel.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +60,12 @@ ROWS = 1 << 15
 # Pairs for each entry of the index that are compared without a round before.
 PAIRS = 4
 
+# Rounds in a row that may leave over half the pairs.
+TRIES = 2
+
+# Parities of a mark, in words of 64.
+MARK_WORDS = 16
+
 # Pairs of one node that are verified by one copy of its set.
 PAIRS_A_COPY = 4096
 
@@ -79,6 +92,12 @@ def index_keys(shingles: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     return shingles[np.lexsort((shingles, counts))[:wanted]]
 
 
+def mark_of(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of a set's shingles is in each part, as words of 64 bits."""
+    odd = np.bincount((shingles & np.uint64(64 * MARK_WORDS - 1)).astype(np.int64), minlength=64 * MARK_WORDS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def count_sketch(texts: DataFrame):
     """A broadcast array of how many texts hold a shingle of each slot, for one column of texts."""
 
@@ -110,7 +129,7 @@ def _columns(keys: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
 
 def index_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, text_hash, node and size; where it may have a candidate, `keys`, their `places` in
-    the order of the set and the set's fingerprint `fp`; written once."""
+    the order of the set, the set's fingerprint `fp` and its `mark`; written once."""
     text = documents[quoted(text_col)]
     texts = documents.select(utf8(quoted(text_col)).alias("text"))
     sketch = count_sketch(texts)
@@ -122,6 +141,7 @@ def index_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
             *(T.StructField(name, long) for name in ("text_hash", "node", "size")),
             *(T.StructField(name, T.ArrayType(long)) for name in ("keys", "places")),
             T.StructField("fp", long),
+            T.StructField("mark", T.ArrayType(long)),
         ]
     )
 
@@ -144,7 +164,7 @@ def index_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
                 shingles = shingle_set(raw)
                 keys = index_keys(shingles, sketch.value)
                 places = np.flatnonzero(held(shared.value, keys))
-                more = (keys[places].view(np.int64), places, simhash(shingles)) if len(places) else (None, None, None)
+                more = (keys[places].view(np.int64), places, simhash(shingles), mark_of(shingles)) if len(places) else (None,) * 4
                 yield doc_id, text_hash, node_of(shingles), len(shingles), *more
 
         yield from arrow_batches(found(), schema)
@@ -179,19 +199,20 @@ def _near() -> Column:
 
 
 def _sets_of(named: DataFrame, nodes: DataFrame, reps: DataFrame) -> DataFrame:
-    """(node, shingles) of some nodes, each once, made anew from the texts (rep, text) that stand for them."""
-    wanted = stored(nodes.distinct().join(reps, "node"), "wanted-sets")
-    shared = bitmap_of(wanted.select("rep"))
+    """(node, shingles) of some nodes, each once, made anew from the texts (rep, text) that stand for them.
+
+    A few other nodes may come as well.
+    """
+    shared = bitmap_of(nodes.distinct().join(reps, "node").select("rep"))
     long = T.LongType()
-    fields = [T.StructField("rep", long), T.StructField("node", long), T.StructField("shingles", T.ArrayType(long))]
-    schema = T.StructType(fields)
+    schema = T.StructType([T.StructField("node", long), T.StructField("shingles", T.ArrayType(long))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some: list[tuple] = []
         size = 0
-        for rep, raw in batch_rows(batches):
+        for _, raw in batch_rows(batches):
             shingles = shingle_set(raw)
-            some.append((rep, node_of(shingles), shingles.view(np.int64)))
+            some.append((node_of(shingles), shingles.view(np.int64)))
             # Sets are large beside what arrow_batches counts: a few at a time.
             size += len(shingles)
             if size >= ROWS:
@@ -199,15 +220,23 @@ def _sets_of(named: DataFrame, nodes: DataFrame, reps: DataFrame) -> DataFrame:
                 some, size = [], 0
         yield from arrow_batches(some, schema)
 
-    sets = named.where(may_hold(shared, F.col("rep"))).mapInArrow(run, schema)
     # Repeated rows have the same name: one of them stays.
-    return sets.join(wanted.select("rep", "node"), ["rep", "node"], "left_semi").dropDuplicates(["node"]).select("node", "shingles")
+    return named.where(may_hold(shared, F.col("rep"))).mapInArrow(run, schema).dropDuplicates(["node"])
 
 
 def _rep() -> Column:
     return F.xxhash64("doc_id", "text_hash")
 
 
+def may_be_alike(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (u, v) of nodes that the marks (node, size, mark) do not show to be unlike."""
+    sides = [marks.select(F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("mark").alias(f"{n}_mark")) for n in "uv"]
+    met = pairs.join(sides[0], "u").join(sides[1], "v")
+    odd = reduce(lambda a, b: a + b, (F.bit_count(F.col("u_mark")[k].bitwiseXOR(F.col("v_mark")[k])) for k in range(MARK_WORDS)))
+    # They differ in `odd` shingles at least, and alike ones in (OF - ALIKE) / (OF + ALIKE) of both sizes at most.
+    return met.where(odd * (ALIKE + OF) <= (F.col("u_size") + F.col("v_size")) * (OF - ALIKE)).select("u", "v")
+
+
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) of nodes whose complete sets are alike."""
     one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
@@ -237,7 +266,7 @@ def ranked_entries(sets: DataFrame) -> DataFrame:
 
 
 def simhash_links(nodes: DataFrame, named: DataFrame, reps: DataFrame) -> DataFrame:
-    """Links (u, v) of nodes (node, size, fp) whose fingerprints the multi-index tables find near, if their sets are alike.
+    """Links (u, v) of nodes (node, size, fp, mark) whose fingerprints the multi-index tables find near, if their sets are alike.
 
     Of nodes with one fingerprint the first stands for it, and the others are compared with that one.
     """
@@ -248,7 +277,7 @@ def simhash_links(nodes: DataFrame, named: DataFrame, reps: DataFrame) -> DataFr
     met = near.where("fp <> v_fp").join(first, "fp").join(other, "v_fp").select(*sides)
     same = nodes.join(first, "fp").select("node", "size", F.col("first.node").alias("v_node"), F.col("first.size").alias("v_size"))
     met = met.union(same.where("node <> v_node")).where(_alike_sizes()).select(F.col("node").alias("u"), F.col("v_node").alias("v"))
-    met = stored(met, "near-fingerprints")
+    met = stored(may_be_alike(met, nodes), "near-fingerprints")
     sets = _sets_of(named, met.select(F.col("u").alias("node")).union(met.select("v")), reps)
     return stored(_alike(met, sets), "alike-fingerprints")
 
@@ -260,18 +289,19 @@ def alike_components(index: DataFrame, named: DataFrame) -> DataFrame | None:
     """
     some = index.where("keys IS NOT NULL")
     reps = stored(some.groupBy("node").agg(F.min(_rep()).alias("rep")), "set-names")
-    once = some.select("node", _rep().alias("rep"), "size", "fp", F.arrays_zip("keys", "places").alias("at"))
+    once = some.select("node", _rep().alias("rep"), "size", "fp", "mark", F.arrays_zip("keys", "places").alias("at"))
     once = once.join(reps, ["node", "rep"], "left_semi").dropDuplicates(["node"])
     entries = once.select("node", "size", F.explode("at").alias("at")).select(
         F.col("at.keys").alias("key"), "node", "size", F.col("at.places").alias("place")
     )
     entries = stored(live_entries(entries), "set-entries")
-    links, found = simhash_links(once.select("node", "size", "fp"), named, reps), None
+    nodes = stored(once.select("node", "size", "fp", "mark"), "set-marks")
+    links, found = simhash_links(nodes, named, reps), None
     if not links.isEmpty():
         found = stored(connected_components(links), "alike-components")
     before = None
-    ranked = False
-    while True:
+    ranked, tries = False, 0
+    for turn in count():
         rooted = entries.withColumn("root", F.col("node"))
         if found is not None:
             rooted = entries.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -286,20 +316,23 @@ def alike_components(index: DataFrame, named: DataFrame) -> DataFrame | None:
         if not rows:
             return found
         crowded = pairs > PAIRS * rows
-        if crowded and before is not None and 2 * pairs > before and not ranked:
-            ranked, before = True, None
+        tries = tries + 1 if before is not None and 2 * pairs > before else 0
+        if crowded and tries >= TRIES and not ranked:
+            ranked, before, tries = True, None, 0
             entries = stored(live_entries(ranked_entries(_sets_of(named, live.select("node"), reps))), "set-entries")
             continue
-        last = not crowded or (before is not None and 2 * pairs > before)
+        last = before is not None and (not crowded or tries >= TRIES)
         before = pairs
         columns = [F.col("node").alias("v"), *(F.col(c).alias(f"v_{c}") for c in ("size", "place", "root"))]
         if last:
             met = live.join(live.select("key", *columns), "key").where("root < v_root")
         else:
-            # The same one for as many keys as possible, so that pairs are few.
-            hub = live.groupBy("key").agg(F.min_by(F.struct("node", "size", "place", "root"), F.xxhash64("node")).alias("hub"))
+            # The same one for as many keys as possible, so that pairs are few; another one every turn.
+            node = F.struct("node", "size", "place", "root")
+            hub = live.groupBy("key").agg(F.min_by(node, F.xxhash64("node", F.lit(turn))).alias("hub"))
             met = live.join(hub.select("key", "hub.*").select("key", *columns), "key").where("root != v_root")
-        met = stored(met.where(_near()).select(F.col("node").alias("u"), "v").distinct(), "candidates")
+        met = met.where(_near()).select(F.col("node").alias("u"), "v").distinct()
+        met = stored(may_be_alike(met, nodes), "candidates")
         sets = _sets_of(named, met.select(F.col("u").alias("node")).union(met.select("v")), reps)
         fresh = stored(_alike(met, sets), "alike")
         links = links.union(fresh)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from fixtures import documents, rows_of, texts
 
@@ -128,3 +129,45 @@ def test_simhash_tables_find_links_before_the_index(spark, monkeypatch):
     kept = stages.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
     assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows) == [10 * i for i in range(30)]
     assert links[0] >= 20
+
+
+def compared_pairs(monkeypatch):
+    """The numbers of pairs whose complete sets are compared, as they come."""
+    compared = []
+    alike = near_copies._alike
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return alike(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_alike", counted)
+    return compared
+
+
+def test_sets_of_pairs_that_are_far_from_alike_are_not_brought_together(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "SLOTS", 1 << 4)
+    monkeypatch.setattr(near_copies, "_PART", 1 << 4)
+    compared = compared_pairs(monkeypatch)
+    rows = []
+    for i in range(40):
+        both = [f"w{i}x{j}" for j in range(300)]
+        rows += [(2 * i + k, " ".join(both + [f"o{i}x{j}x{k}" for j in range(150)])) for k in range(2)]
+    kept = near_copies.keep_one_of_alike(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert kept.count() == len(rows) and sum(compared) == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 9, 90, 450, 5000])
+def test_marks_lose_no_pair_that_is_alike(spark, size):
+    rng = np.random.default_rng(size)
+    nodes, pairs = [], []
+    for i in range(60):
+        a = rng.integers(0, 1 << 64, size, np.uint64, endpoint=False)
+        # As unlike as pairs may be, by leaving some out or by other ones.
+        gone = size // 5 if i % 2 else size // 9
+        b = a[gone:] if i % 2 else np.concatenate([a[gone:], rng.integers(0, 1 << 64, gone, np.uint64, endpoint=False)])
+        for node, some in ((2 * i, a), (2 * i + 1, b)):
+            nodes.append((node, len(some), near_copies.mark_of(some).tolist()))
+        pairs.append((2 * i, 2 * i + 1))
+    marks = spark.createDataFrame(nodes, "node bigint, size bigint, mark array<bigint>")
+    left = near_copies.may_be_alike(spark.createDataFrame(pairs, "u bigint, v bigint"), marks)
+    assert sorted(map(tuple, left.collect())) == pairs
