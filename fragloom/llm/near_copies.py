@@ -18,14 +18,15 @@ has in the order of either set bounds what they can have in common: all of it co
 behind, and one of their keys is the first. So an entry whose place is too late for even the
 smallest set at its key is dropped before any pair is made: texts that share most of a form,
 but less than 0.8, have their own shingles first and make no pairs. Rounds compare what is left
-with one node of its key only and join what is alike; nodes of a key that are one component
+with a few nodes of its key only and join what is alike; nodes of a key that are one component
 already need no comparison. The first comparison always is such a round, so that a group of near copies
-makes no pairs of all its members; every round takes another node, as the last may have been unlike the
-group around it. When rounds no longer halve the pairs, the nodes that remain are ranked anew by exact counts among themselves, and pairs that their places allow are compared.
+makes no pairs of all its members; every round takes other nodes, as the last may have been unlike the
+group around them. When a round does not halve the pairs, the nodes that remain are ranked anew by exact counts among themselves, and pairs that their places allow are compared.
 
 Before complete sets are brought together, a pair must pass by marks of 128 bytes, the parities of
 the numbers of shingles in 1,024 parts: two sets differ in at least as many shingles as parities,
-so no pair that is alike is lost, and few others are left whose sets must travel.
+so no pair that is alike is lost, and few others are left whose sets must travel. Marks are compared
+where nodes meet at a key, so that of a crowd only such pairs become rows.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fragloom.llm.bitmaps import bitmap_of, held, may_hold
-from fragloom.llm.common import arrow_batches, batch_rows, quoted, stored, tasks, utf8
+from fragloom.llm.common import arrow_batches, batch_rows, quoted, stored, tasks, tidy, utf8
 from fragloom.llm.components import connected_components
 from fragloom.llm.simhash import SEED, keep_first_of_each, near_fingerprints, shingle_hashes, simhash
 
@@ -60,8 +61,8 @@ ROWS = 1 << 15
 # Pairs for each entry of the index that are compared without a round before.
 PAIRS = 4
 
-# Rounds in a row that may leave over half the pairs.
-TRIES = 2
+# Nodes of a key with which a round compares the others.
+HUBS = 8
 
 # Parities of a mark, in words of 64.
 MARK_WORDS = 16
@@ -117,8 +118,9 @@ def count_sketch(texts: DataFrame):
 
     schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("counts", T.BinaryType())])
     sketch = np.zeros(SLOTS, np.uint32)
-    summed = texts.mapInArrow(run, schema).repartition(tasks(texts), "part").mapInArrow(add, schema)
-    for part, counts in summed.toLocalIterator():
+    with tidy(texts.sparkSession):
+        summed = texts.mapInArrow(run, schema).repartition(tasks(texts), "part").mapInArrow(add, schema).collect()
+    for part, counts in summed:
         sketch[part * _PART : (part + 1) * _PART] = np.frombuffer(counts, np.uint32)
     return texts.sparkSession.sparkContext.broadcast(sketch)
 
@@ -228,13 +230,35 @@ def _rep() -> Column:
     return F.xxhash64("doc_id", "text_hash")
 
 
+def _marks_agree(size: str, mark: str, v_size: str, v_mark: str) -> Column:
+    odd = reduce(lambda a, b: a + b, (F.bit_count(F.col(mark)[k].bitwiseXOR(F.col(v_mark)[k])) for k in range(MARK_WORDS)))
+    # They differ in `odd` shingles at least, and alike ones in (OF - ALIKE) / (OF + ALIKE) of both sizes at most.
+    return odd * (ALIKE + OF) <= (F.col(size) + F.col(v_size)) * (OF - ALIKE)
+
+
 def may_be_alike(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     """The pairs (u, v) of nodes that the marks (node, size, mark) do not show to be unlike."""
     sides = [marks.select(F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("mark").alias(f"{n}_mark")) for n in "uv"]
-    met = pairs.join(sides[0], "u").join(sides[1], "v")
-    odd = reduce(lambda a, b: a + b, (F.bit_count(F.col("u_mark")[k].bitwiseXOR(F.col("v_mark")[k])) for k in range(MARK_WORDS)))
-    # They differ in `odd` shingles at least, and alike ones in (OF - ALIKE) / (OF + ALIKE) of both sizes at most.
-    return met.where(odd * (ALIKE + OF) <= (F.col("u_size") + F.col("v_size")) * (OF - ALIKE)).select("u", "v")
+    return pairs.join(sides[0], "u").join(sides[1], "v").where(_marks_agree("u_size", "u_mark", "v_size", "v_mark")).select("u", "v")
+
+
+def candidates(live: DataFrame, marks: DataFrame, turn: int | None) -> DataFrame:
+    """Pairs (u, v) of nodes of other components that meet at a key of `live` and may be alike by places, sizes and marks.
+
+    In a round `turn`, v is one of the first `HUBS` nodes of its key in the order of that round; without, any.
+    """
+    order = F.xxhash64("node", F.lit(turn or 0))
+    live = live.join(marks.select("node", "mark"), "node").withColumn("order", order)
+    other = live
+    if turn is not None:
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("order", "node"))
+        other = live.withColumn("rank", rank).where(F.col("rank") <= HUBS)
+    columns = ("node", "size", "place", "root", "mark", "order")
+    other = other.select("key", *(F.col(c).alias(f"v_{c}") for c in columns))
+    # The order is the same at all keys, so a pair is met one way round.
+    after = F.struct("v_order", "v_node") < F.struct("order", "node")
+    wanted = (F.col("root") != F.col("v_root")) & after & _near() & _marks_agree("size", "mark", "v_size", "v_mark")
+    return live.join(other, "key").where(wanted).select(F.col("node").alias("u"), F.col("v_node").alias("v")).distinct()
 
 
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -299,8 +323,7 @@ def alike_components(index: DataFrame, named: DataFrame) -> DataFrame | None:
     links, found = simhash_links(nodes, named, reps), None
     if not links.isEmpty():
         found = stored(connected_components(links), "alike-components")
-    before = None
-    ranked, tries = False, 0
+    before, ranked = None, False
     for turn in count():
         rooted = entries.withColumn("root", F.col("node"))
         if found is not None:
@@ -316,23 +339,14 @@ def alike_components(index: DataFrame, named: DataFrame) -> DataFrame | None:
         if not rows:
             return found
         crowded = pairs > PAIRS * rows
-        tries = tries + 1 if before is not None and 2 * pairs > before else 0
-        if crowded and tries >= TRIES and not ranked:
-            ranked, before, tries = True, None, 0
+        stuck = before is not None and 2 * pairs > before
+        before = pairs
+        if crowded and stuck and not ranked:
+            ranked = True
             entries = stored(live_entries(ranked_entries(_sets_of(named, live.select("node"), reps))), "set-entries")
             continue
-        last = before is not None and (not crowded or tries >= TRIES)
-        before = pairs
-        columns = [F.col("node").alias("v"), *(F.col(c).alias(f"v_{c}") for c in ("size", "place", "root"))]
-        if last:
-            met = live.join(live.select("key", *columns), "key").where("root < v_root")
-        else:
-            # The same one for as many keys as possible, so that pairs are few; another one every turn.
-            node = F.struct("node", "size", "place", "root")
-            hub = live.groupBy("key").agg(F.min_by(node, F.xxhash64("node", F.lit(turn))).alias("hub"))
-            met = live.join(hub.select("key", "hub.*").select("key", *columns), "key").where("root != v_root")
-        met = met.where(_near()).select(F.col("node").alias("u"), "v").distinct()
-        met = stored(may_be_alike(met, nodes), "candidates")
+        last = turn > 0 and (stuck or not crowded)
+        met = stored(candidates(live, nodes, None if last else turn), "candidates")
         sets = _sets_of(named, met.select(F.col("u").alias("node")).union(met.select("v")), reps)
         fresh = stored(_alike(met, sets), "alike")
         links = links.union(fresh)

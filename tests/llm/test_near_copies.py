@@ -171,3 +171,25 @@ def test_marks_lose_no_pair_that_is_alike(spark, size):
     marks = spark.createDataFrame(nodes, "node bigint, size bigint, mark array<bigint>")
     left = near_copies.may_be_alike(spark.createDataFrame(pairs, "u bigint, v bigint"), marks)
     assert sorted(map(tuple, left.collect())) == pairs
+
+
+def test_candidates_of_a_crowd_are_the_pairs_that_pass_and_rounds_meet_some_of_each_key(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 64, 200, np.uint64, endpoint=False)
+    sets = {i: np.concatenate([base[rng.random(200) > 0.04], rng.integers(0, 1 << 64, 3 + i % 18, np.uint64)]) for i in range(40)}
+    marks = spark.createDataFrame([(i, near_copies.mark_of(s).tolist()) for i, s in sets.items()], "node bigint, mark array<bigint>")
+    rows = [(key, i, len(s), 5, i // 2) for i, s in sets.items() for key in (1, 2)]
+    live = spark.createDataFrame(rows, "key bigint, node bigint, size bigint, place bigint, root bigint")
+    want = set()
+    for i, a in sets.items():
+        for j, b in sets.items():
+            odd = sum((int(x) ^ int(y)).bit_count() for x, y in zip(near_copies.mark_of(a).view(np.uint64), near_copies.mark_of(b).view(np.uint64), strict=True))
+            if i // 2 < j // 2 and 9 * odd <= len(a) + len(b) and 4 * max(len(a), len(b)) <= 5 * min(len(a), len(b)):
+                want.add((i, j))
+    got = near_copies.candidates(live, marks, None).collect()
+    assert 0 < len(got) == len({tuple(sorted(r)) for r in got}) < 40 * 39 // 2
+    assert {tuple(sorted(r)) for r in got} == want
+    some = {tuple(sorted(r)) for r in near_copies.candidates(live, marks, 0).collect()}
+    other = {tuple(sorted(r)) for r in near_copies.candidates(live, marks, 1).collect()}
+    assert some <= want and other <= want and some != other
+    assert len({v for _, v in near_copies.candidates(live, marks, 0).collect()}) <= near_copies.HUBS
