@@ -334,10 +334,11 @@ def alike_components(index: DataFrame, named: DataFrame) -> DataFrame | None:
             rooted.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key")
             .agg(F.sum("n").alias("rows"), ((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).alias("pairs")).where("pairs > 0")
         )
-        live = stored(rooted.join(apart.select("key"), "key", "left_semi"), "live-entries")
+        apart = stored(apart, "keys-apart")
         rows, pairs = apart.agg(F.sum("rows"), F.sum("pairs")).first()
         if not rows:
             return found
+        live = stored(rooted.join(apart.select("key"), "key", "left_semi"), "live-entries")
         crowded = pairs > PAIRS * rows
         stuck = before is not None and 2 * pairs > before
         before = pairs
