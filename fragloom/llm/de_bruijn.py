@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fragloom.llm.bitmaps import bitmap_of, may_hold
 from fragloom.llm.common import arrow_batches, stored, table, tasks
 from fragloom.llm.repeats import RepeatedRuns, Runs, WordText, _long, as_texts, covered, with_spans
 
@@ -75,8 +76,11 @@ def nonbranching_links(places: DataFrame) -> DataFrame:
     """
 
     def only(name: str) -> Column:
-        same = (F.count(name) == F.count("*")) & (F.min(name) == F.max(name))
-        return F.when(same, F.min(name)).alias(name)
+        # By the numbers of a run, as Spark can keep those up to date in place, but not the least struct.
+        same = F.count(name) == F.count("*")
+        for part in RUN:
+            same &= F.min(f"{name}.{part}") == F.max(f"{name}.{part}")
+        return F.when(same, F.struct(*(F.min(f"{name}.{part}").alias(part) for part in RUN))).alias(name)
 
     degrees = places.groupBy(F.struct(*RUN).alias("run")).agg(only("after"), only("before"), F.min("n").alias("n"))
     degrees = stored(degrees, "run-degrees")
@@ -129,6 +133,10 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("times"), F.min(F.struct("doc", "start")).alias("first"))
         .where("times > 1")
     )
+    firsts = stored(firsts.select("anchor", "edge", "first"), "repeated-edges")
+    # Most edges within branching anchors occur once: few others than those that occur again are shuffled.
+    again = bitmap_of(firsts.select(F.xxhash64("anchor", "edge")))
+    edges = edges.where(may_hold(again, F.xxhash64("anchor", "edge")))
     single = edges.join(firsts, ["anchor", "edge"]).where(later).select("doc", "key", "start", F.lit(1).cast("bigint").alias("n"))
     return whole.union(single)
 

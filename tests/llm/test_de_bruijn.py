@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from fixtures import documents, prose, space_words, texts
 
-from fragloom.llm import bitmaps, de_bruijn
+from fragloom.llm import bitmaps, de_bruijn, repeats
 
 
 def expected(rows):
@@ -97,3 +97,40 @@ def test_equal_hashes_of_runs_that_follow_do_not_join_others(spark, monkeypatch)
     monkeypatch.setattr(de_bruijn.WordText, "runs", collided)
     rows = texts()[:28]
     assert removed(de_bruijn.remove_repeats(documents(spark, rows))) == expected(rows)
+
+
+def test_degrees_are_hash_aggregates_and_anchors_come_alone(spark, monkeypatch):
+    plans, scans = {}, []
+    stored, scan = de_bruijn.stored, repeats.scan
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, label)
+
+    def scanned(*args, **options):
+        scans.append(scan(*args, **options))
+        return scans[-1]
+
+    monkeypatch.setattr(de_bruijn, "stored", seen)
+    monkeypatch.setattr(repeats, "scan", scanned)
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(1, long), (2, f"before {long}")]
+    assert removed(de_bruijn.remove_repeats(documents(spark, rows))) == expected(rows)
+    assert "HashAggregate" in plans["run-degrees"] and "SortAggregate" not in plans["run-degrees"]
+    assert scans[0].columns == ["anchor"]
+    # Edges are only shuffled if they may occur again.
+    assert "repeated-edges" in plans
+
+
+@pytest.mark.parametrize("at_once", [1 << 15, 3])
+def test_words_are_hashed_together_as_split_finds_them(monkeypatch, at_once):
+    monkeypatch.setattr(repeats, "_WORDS_AT_ONCE", at_once)
+    odd = ["", " ", "\t a\x0bb\x0c\r\n", "a\0 a \0a \xa0 \x1c \u2003x ab ba a", " ".join("x" * n for n in (63, 64, 65, 66, 200, 64)) + " "]
+    odd += ["y" * 64 + "a " + "y" * 64 + "b " + "y" * 64]
+    word_of = {}
+    for text in [t or "" for _, t in texts()] + odd:
+        words, hashes = text.encode().split(), repeats.word_hashes(text.encode()).tolist()
+        assert len(words) == len(hashes)
+        for word, found in zip(words, hashes, strict=True):
+            assert word_of.setdefault(found, word) == word
+    assert len(set(word_of.values())) == len(word_of) > 4000
